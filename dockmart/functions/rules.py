@@ -182,16 +182,19 @@ def shift_id(crew_col: ColumnOrName, shift_start_col: ColumnOrName) -> Column:
 # --- lateness ------------------------------------------------------------------
 
 
-def late_hours(planned: ColumnOrName, estimated: ColumnOrName, overflow_null: bool = False) -> Column:
-    """Hours the estimate is after the plan, DECIMAL(5,2), negatives -> 0.
+def late_hours_raw(planned: ColumnOrName, estimated: ColumnOrName, overflow_null: bool = False) -> Column:
+    """``CAST(DATEDIFF(MINUTE, p, e) / 60.0 AS DECIMAL(5,2))`` (may be negative).
 
-    ``CAST(DATEDIFF(MINUTE, p, e) / 60.0 AS DECIMAL(5,2))`` then
-    ``CASE WHEN h < 0.0 THEN 0.0 ELSE h END``. Beyond 999.99 h the cast fails
-    (as the source does) unless ``overflow_null``.
+    Beyond 999.99 h the cast fails (as the source does) unless
+    ``overflow_null``, which gives NULL instead.
     """
     ratio = dates.minute_diff(planned, estimated) / F.lit(Decimal("60.0"))
-    hours = ratio.try_cast("decimal(5,2)") if overflow_null else ratio.cast("decimal(5,2)")
-    return clamp_at_zero(hours)
+    return ratio.try_cast("decimal(5,2)") if overflow_null else ratio.cast("decimal(5,2)")
+
+
+def late_hours(planned: ColumnOrName, estimated: ColumnOrName, overflow_null: bool = False) -> Column:
+    """Hours the estimate is after the plan, DECIMAL(5,2), negatives -> 0."""
+    return clamp_at_zero(late_hours_raw(planned, estimated, overflow_null))
 
 
 def clamp_at_zero(hours: Column) -> Column:

@@ -74,7 +74,7 @@ def ordered_lists(
     one key line up item by item (the source leaves the order undefined).
     ``listagg`` aggregates partially before the shuffle.
     """
-    order = ", ".join(f"`{c}`" for c in order_by)
+    order = ", ".join(f"`{c}` ASC NULLS FIRST" for c in order_by)
     sep = separator.replace("'", "''")
     exprs = [
         F.expr(f"listagg(CAST(`{src}` AS STRING), '{sep}') WITHIN GROUP (ORDER BY {order})").alias(out)

@@ -58,7 +58,7 @@ def table_rows(tbl: pa.Table, names: list[str]) -> list[tuple]:
 def compare(spark_df, con: duckdb.DuckDBPyConnection, sql: str, check_types: bool = True) -> list[str]:
     """Differences between a Spark result and a DuckDB result (empty if equal)."""
     left = spark_df.toArrow()
-    right = con.execute(sql).to_arrow_table()
+    right = con.sql(sql).to_arrow_table()
     problems = []
     ln, rn = sorted(left.column_names), sorted(right.column_names)
     if ln != rn:
