@@ -169,11 +169,8 @@ class MartConfig:
     text: TextRules = field(default_factory=TextRules)
     # Lenient layouts tried after ISO when text is cast to a timestamp.
     timestamp_formats: tuple[str, ...] = (
-        "MM/dd/yyyy HH:mm:ss",
-        "MM/dd/yyyy HH:mm",
-        "MM/dd/yyyy",
-        "yyyyMMdd HH:mm:ss",
-        "yyyyMMdd",
+        "M/d/yyyy[ H:mm[:ss]]",
+        "yyyyMMdd[ H:mm[:ss]]",
     )
     # Late-by hours beyond DECIMAL(5,2): fail the query (as the source does)
     # or give NULL.

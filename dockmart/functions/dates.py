@@ -30,7 +30,10 @@ def safe_timestamp(c: ColumnOrName, formats: Sequence[str] = ()) -> Column:
     """``TRY_CAST(x AS DATETIME)``: a ``timestamp_ntz`` or NULL.
 
     ISO text and timestamps convert directly; other layouts are tried in
-    order from ``formats`` (Spark datetime patterns). Bad text gives NULL.
+    order from ``formats`` (Spark datetime patterns, optional sections
+    allowed). Bad text gives NULL. The other layouts are only tried for text
+    that starts with a digit: a failed pattern parse is costly, and text such
+    as 'TBD' can never match.
     """
     x = col(c)
     parsed = x.try_cast(NTZ)
@@ -38,7 +41,8 @@ def safe_timestamp(c: ColumnOrName, formats: Sequence[str] = ()) -> Column:
         return parsed
     text = x.cast("string")
     alternatives = [F.try_to_timestamp(text, F.lit(fmt)).cast(NTZ) for fmt in formats]
-    return F.coalesce(parsed, *alternatives)
+    numeric_start = F.substring(text, 1, 1).between("0", "9")
+    return F.coalesce(parsed, F.when(numeric_start, F.coalesce(*alternatives)))
 
 
 def date_of(ts: ColumnOrName) -> Column:
@@ -46,15 +50,26 @@ def date_of(ts: ColumnOrName) -> Column:
     return F.to_date(col(ts))
 
 
+def padded(n: Column, width: int = 2) -> Column:
+    """A calendar field as zero-padded text (fast: no ``java.util.Formatter``)."""
+    return F.lpad(n.cast("string"), width, "0")
+
+
 def time_text(ts: ColumnOrName) -> Column:
     """``CAST(x AS TIME)`` for display, as ``HH:mm:ss`` text.
 
-    Built from the calendar fields so the session time zone never applies.
+    Built from the calendar fields, so the session time zone never applies.
     """
     x = col(ts)
-    return F.when(
-        x.isNotNull(),
-        F.format_string("%02d:%02d:%02d", F.hour(x), F.minute(x), F.second(x)),
+    return F.concat(padded(F.hour(x)), F.lit(":"), padded(F.minute(x)), F.lit(":"), padded(F.second(x)))
+
+
+def stamp_text(ts: ColumnOrName, date_sep: str = "-", time_sep: str = ":") -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` (separators configurable) from the calendar fields."""
+    x = col(ts)
+    return F.concat(
+        padded(F.year(x), 4), F.lit(date_sep), padded(F.month(x)), F.lit(date_sep), padded(F.dayofmonth(x)),
+        F.lit(" "), padded(F.hour(x)), F.lit(time_sep), padded(F.minute(x)), F.lit(time_sep), padded(F.second(x)),
     )
 
 

@@ -170,11 +170,9 @@ def shift_start(arrival: ColumnOrName) -> Column:
 def shift_id(crew_col: ColumnOrName, shift_start_col: ColumnOrName) -> Column:
     """``NULLIF(CONCAT(crew, FORMAT(start, 'yyyyMMdd-HH')), '')``."""
     start = col(shift_start_col)
-    stamp = F.when(
-        start.isNotNull(),
-        F.format_string(
-            "%04d%02d%02d-%02d", F.year(start), F.month(start), F.dayofmonth(start), F.hour(start)
-        ),
+    stamp = F.concat(
+        dates.padded(F.year(start), 4), dates.padded(F.month(start)), dates.padded(F.dayofmonth(start)),
+        F.lit("-"), dates.padded(F.hour(start)),
     )
     return F.nullif(concat_text(col(crew_col), stamp), F.lit(""))
 

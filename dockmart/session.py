@@ -9,6 +9,8 @@ transforms rely on in one place:
   Spark converts through the session zone (``try_to_timestamp``) exact.
 * AQE on, with skew-join splitting – joins and aggregates rely on runtime
   statistics instead of hand-placed broadcast hints.
+* ``spark.sql.codegen.hugeMethodLimit=8000`` – keep generated methods small
+  enough for the JIT (see ``BASE_CONF``).
 * ``spark.checkpoint.dir`` – read from the cluster configuration; only set
   here when it is missing (local runs and tests).
 """
@@ -29,8 +31,24 @@ BASE_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The report projections are wide; a whole-stage method above 8000 bytes
+    # is never JIT-compiled by HotSpot and runs interpreted. Past this size
+    # Spark falls back to per-operator code, whose methods are split small.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Session settings the queries rely on at run time (SQL confs only).
+RUNTIME_CONF: dict[str, str] = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Set the SQL confs the mart relies on in an existing session."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+
 
 def local_session(
     cores: int | str = "*",

@@ -24,7 +24,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockmart.functions.dates import NTZ
+from dockmart.functions.dates import NTZ, padded, stamp_text
 from dockmart.sources.tables import Tables3G, TablesALMS
 
 # Reference "now" of the reports on the test tables (GETDATE()).
@@ -41,7 +41,37 @@ def as_of_events() -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table, spread over the cores when its file cannot be split.
+
+    The driver's test tables are single Parquet files, often one row group,
+    and Spark cannot split a row group: the scan then runs in one task and so
+    does every row expression up to the first shuffle. Such a scan is spread
+    once (round robin) to the session's default parallelism. A real source
+    arrives in many splits and is left as it is; no exchange is added.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if _unsplittable(path, cores) and df.rdd.getNumPartitions() * 2 < cores:
+        df = df.repartition(cores)
+    return df
+
+
+SPREAD_MIN_BYTES = 1 << 20  # below this a single task is fast enough
+
+
+def _unsplittable(path: str, cores: int) -> bool:
+    """A local single file with fewer row groups than cores, worth spreading."""
+    try:
+        import os
+
+        import pyarrow.parquet as pq
+
+        if os.path.getsize(path) < SPREAD_MIN_BYTES:
+            return False
+        return pq.ParquetFile(path).metadata.num_row_groups < cores
+    except Exception:  # not a local file: leave the scan as it is
+        return False
 
 
 def _secs(ts: Column, seconds: Column) -> Column:
@@ -54,18 +84,15 @@ def _mins(ts: Column, minutes: Column | int) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss' from the calendar fields (zone-free); NULL stays NULL."""
-    return F.when(ts.isNotNull(), F.format_string(
-        "%04d-%02d-%02d %02d:%02d:%02d",
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts),
-    ))
+    return stamp_text(ts)
 
 
 def us_text(ts: Column) -> Column:
     """'MM/dd/yyyy HH:mm:ss'; NULL stays NULL."""
-    return F.when(ts.isNotNull(), F.format_string(
-        "%02d/%02d/%04d %02d:%02d:%02d",
-        F.month(ts), F.dayofmonth(ts), F.year(ts), F.hour(ts), F.minute(ts), F.second(ts),
-    ))
+    return F.concat(
+        padded(F.month(ts)), F.lit("/"), padded(F.dayofmonth(ts)), F.lit("/"), padded(F.year(ts), 4),
+        F.lit(" "), padded(F.hour(ts)), F.lit(":"), padded(F.minute(ts)), F.lit(":"), padded(F.second(ts)),
+    )
 
 
 def dotted(amount: Column) -> Column:
