@@ -1,0 +1,35 @@
+"""The hourly refresh stream publishes the report of the latest snapshot."""
+
+from __future__ import annotations
+
+import os
+
+from dockmart.plans import stops
+from dockmart.sources import schemas as SC
+from dockmart.sources.tables import TablesALMS
+from dockmart.streaming.refresh import start_snapshot_refresh
+from test_reports_fixtures import ALMS_LEGS, ALMS_LOADS, ALMS_LOCATIONS, ALMS_STOPS, _as_of
+
+
+def test_snapshot_refresh(spark, scratch):
+    landing, sink = os.path.join(scratch, "landing"), os.path.join(scratch, "report")
+    locations = spark.createDataFrame(ALMS_LOCATIONS, SC.LOCATION_ALMS)
+    loads = spark.createDataFrame(ALMS_LOADS, SC.LOAD_ALMS)
+    legs = spark.createDataFrame(ALMS_LEGS, SC.LEG_ALMS)
+    first = spark.createDataFrame(ALMS_STOPS[:5], SC.LEG_STOP_ALMS)
+    second = spark.createDataFrame(ALMS_STOPS, SC.LEG_STOP_ALMS)
+    first.coalesce(1).write.parquet(os.path.join(landing, "h01"))
+    second.coalesce(1).write.parquet(os.path.join(landing, "h02"))
+
+    def build(snapshot):
+        return stops.stops_alms_report(TablesALMS(loads, legs, snapshot, locations), _as_of())
+
+    q = start_snapshot_refresh(
+        spark, landing + "/*", SC.LEG_STOP_ALMS, build, sink, checkpoint_dir=os.path.join(scratch, "ckpt")
+    )
+    q.awaitTermination(300)
+    assert q.exception() is None
+    published = spark.read.parquet(sink)
+    expected = build(second)
+    assert published.count() == expected.count() > 0
+    assert sorted(map(tuple, published.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
