@@ -53,7 +53,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if _unsplittable(path, cores) and df.rdd.getNumPartitions() * 2 < cores:
-        df = df.repartition(cores)
+        df = df.repartition(cores, df.columns[0])
     return df
 
 

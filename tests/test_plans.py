@@ -92,4 +92,4 @@ def test_group_totals_and_latest_need_no_window(spark, sf_dir):
 
 def test_supplier_lists_aggregate_partially(spark, sf_dir):
     text = plan(entry.queries()["supplier_lists"](spark, sf_dir))
-    assert "partial_listagg" in text
+    assert "partial_collect_list" in text
