@@ -121,18 +121,23 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | Non
     """
     excluded_key = excluded_key or key
     keys = excluded.select(F.col(excluded_key).alias("__nin_key"))
-    stats = keys.select(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("__nin_key").isNull()).alias("nulls"),
-        )
+    # One integer carries the NULL rule: 0 empty list (keep all), 1 list
+    # without NULL (keep unmatched non-NULL keys), 2 NULL in list (keep none).
+    # A single scalar keeps it to one subquery; a struct would be split into
+    # one subquery per field by the optimizer.
+    mode = keys.select(
+        F.when(F.count(F.lit(1)) == 0, F.lit(0))
+        .when(F.count_if(F.col("__nin_key").isNull()) > 0, F.lit(2))
+        .otherwise(F.lit(1))
     ).scalar()
     kept = df.join(
         keys.where(F.col("__nin_key").isNotNull()),
         df[key] == F.col("__nin_key"),
         "left_anti",
     )
-    return kept.where((stats.n == 0) | ((stats.nulls == 0) & F.col(key).isNotNull()))
+    # mode 0 keeps all, 1 keeps non-NULL keys, 2 keeps none; written with a
+    # single reference to the subquery (each reference would be its own job).
+    return kept.where(mode + F.col(key).isNull().cast("int") <= 1)
 
 
 def not_in_sql_form(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | None = None) -> DataFrame:
