@@ -41,17 +41,21 @@ def keys_without(
     )
 
 
-def with_group_totals(df: DataFrame, by: Sequence[str], **aggs: Column) -> DataFrame:
+def with_group_totals(
+    df: DataFrame, by: Sequence[str], source: DataFrame | None = None, **aggs: Column
+) -> DataFrame:
     """Add per-group aggregates to every row: ``agg(...) OVER (PARTITION BY by)``.
 
     Written as a grouped aggregate joined back on the group keys with
     NULL-safe equality (a NULL key is one group, as in a window). Unlike a
     window, the aggregate is pre-combined on the map side and the join can
     split a hot key (AQE skew join) or broadcast the per-group table when it
-    is small, so one large group never has to sit in one task.
+    is small, so one large group never has to sit in one task. ``source``
+    (default ``df``) is the frame the totals are computed over; several totals
+    over one base frame can then share its scan and shuffle.
     """
     by = list(by)
-    totals = df.groupBy(*by).agg(*[expr.alias(name) for name, expr in aggs.items()])
+    totals = (source if source is not None else df).groupBy(*by).agg(*[expr.alias(name) for name, expr in aggs.items()])
     renamed = totals.select(*[F.col(k).alias(f"__g_{k}") for k in by], *aggs.keys())
     cond = None
     for k in by:

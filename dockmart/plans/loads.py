@@ -142,8 +142,10 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
 
 def loads_alms_report(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The ALMS loads report (31 columns) with load counts per route and carrier."""
-    rows = alms_load_rows(tables, cfg)
-    rows = with_group_totals(rows, ["Route"], **{"Load Count Per Route": F.count("Load ID").cast("int")})
-    rows = with_group_totals(rows, ["Carrier Code"], **{"Load Count Per Carrier": F.count("Load ID").cast("int")})
+    base = alms_load_rows(tables, cfg)
+    rows = with_group_totals(base, ["Route"], **{"Load Count Per Route": F.count("Load ID").cast("int")})
+    rows = with_group_totals(
+        rows, ["Carrier Code"], source=base, **{"Load Count Per Carrier": F.count("Load ID").cast("int")}
+    )
     rows = rows.withColumn("TMS", F.lit(C.TMS_ALMS))
     return rows.select(*[F.col(f"`{c}`") for c in LOADS_COLUMNS])

@@ -77,7 +77,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     store) and Spark already uses it. Only when it is unset (local runs,
     tests) a fresh scratch folder is made and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the SQL conf is visible
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set for this session")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -51,8 +51,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if _unsplittable(path, cores) and df.rdd.getNumPartitions() * 2 < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        spread = _unsplittable(path, cores) and df.rdd.getNumPartitions() * 2 < cores
+    except Exception:  # e.g. a Spark Connect session: no RDD view, read as is
+        spread = False
+    if spread:
         df = df.repartition(cores, df.columns[0])
     return df
 

@@ -239,3 +239,21 @@ def test_3g_null_load_among_foreign_deliveries_empties_reports(spark, g3):
                  g3.load_order, g3.order_header)
     assert loads.loads_3g_report(t).count() == 0
     assert stops.stops_3g_report(t, _as_of()).count() == 0
+
+
+def test_3g_letter_case_follows_text_rules(spark, g3):
+    from dockmart.config import TextRules
+
+    extra_load = spark.createDataFrame([_load(9, "InTransit")], SC.LOAD_3G)
+    extra_stop = spark.createDataFrame([_stop3(9, 1, 104, "Delivery")], SC.STOP_3G)
+    extra_loc = spark.createDataFrame([(104, "HUTCHINSON Annex")], SC.LOC_3G)
+    extra_client = spark.createDataFrame([(9, 800)], SC.LOAD_CLIENT_3G)
+    t = Tables3G(g3.load.unionByName(extra_load), g3.stop.unionByName(extra_stop), g3.loc.unionByName(extra_loc),
+                 g3.partner, g3.mode, g3.load_client.unionByName(extra_client), g3.load_order, g3.order_header)
+    exact = {r["Load ID"] for r in loads.loads_3g_report(t).collect()}
+    assert 9 not in exact  # 'HUTCHINSON' does not contain 'Hutchinson' byte for byte
+    ci_cfg = MartConfig(text=TextRules.sql_server())
+    ci = {r["Load ID"] for r in loads.loads_3g_report(t, ci_cfg).collect()}
+    assert ci == exact | {9}
+    rows = [r for r in stops.stops_3g_report(t, _as_of(), ci_cfg).collect() if r["Loadleg ID"] == "L9"]
+    assert [r["Is HUT Location"] for r in rows] == ["Yes"]

@@ -33,3 +33,15 @@ def test_snapshot_refresh(spark, scratch):
     expected = build(second)
     assert published.count() == expected.count() > 0
     assert sorted(map(tuple, published.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_write_report_partitioned(spark, scratch):
+    from dockmart.sources.sinks import write_report
+
+    report = spark.createDataFrame(
+        [(1, "A", "2025-06-16"), (2, "B", "2025-06-17")], "`Loadleg ID` long, Crew string, `Planned Departure Date` string"
+    )
+    out = os.path.join(scratch, "report")
+    write_report(report, out, partition_by=["Planned Departure Date"])
+    back = spark.read.parquet(out)
+    assert back.count() == 2 and "Planned Departure Date" in back.columns
