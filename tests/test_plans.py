@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import io
-import os
 
 import pytest
 
 import __spark_entry__ as entry
 from dockmart.operators.joins import not_in, not_in_sql_form
-from dockmart.plans import common, loads, stops
+from dockmart.plans import common, stops
 from dockmart.sources import tables as T
 from dockmart.sources.standin import as_of_stops
 from test_reports_fixtures import ALMS_LEGS, ALMS_LOADS, ALMS_LOCATIONS, ALMS_STOPS
