@@ -118,6 +118,12 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | Non
     plain ``left_anti`` join (shuffle or broadcast, chosen on size) plus one
     scalar subquery that counts the list and its NULLs; the subquery result
     is a single row, so nothing that grows with the data is broadcast.
+
+    Cost: the list is evaluated twice, once as the join's build side and
+    once inside the subquery. The optimizer copies the NULL rule onto the
+    build side (it constrains the join key), so the two plans differ and
+    Spark does not share their shuffle. For the reports the list is a
+    grouped aggregate over four narrow columns, small next to the main scan.
     """
     excluded_key = excluded_key or key
     keys = excluded.select(F.col(excluded_key).alias("__nin_key"))

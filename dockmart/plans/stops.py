@@ -5,10 +5,12 @@ Shape of each report, as a Spark plan:
 1. scan the stops (customer filter pushed to the scan where text rules are
    exact) and drop loads/legs with deliveries but none at a plant
    (grouped aggregate + null-aware anti join, :func:`not_in`);
-2. one projection computing every column rule (crew, shift, bands, ...);
-3. ALMS only: ``distinct`` over the raw row, as the source does;
-4. supplier lists per load/leg (distinct tuples, ordered ``listagg``);
-5. left join of the rows to their lists, final column order, sort.
+2. ALMS only: ``distinct`` over the 21 base columns (parsed times included),
+   as the source's DISTINCT over the raw row;
+3. one projection computing every column rule (crew, shift, bands, ...);
+4. supplier lists per load/leg (distinct tuples, one sorted ``collect_list``);
+5. left join of the rows to their lists, final column order, and the sort
+   only when ``MartConfig.sort_reports`` asks for it.
 
 The stop table feeds steps 1 and 4 through separate scans; each reads only
 the few columns it needs, which is cheaper than caching the wide table.
