@@ -45,3 +45,21 @@ def test_write_report_partitioned(spark, scratch):
     write_report(report, out, partition_by=["Planned Departure Date"])
     back = spark.read.parquet(out)
     assert back.count() == 2 and "Planned Departure Date" in back.columns
+
+
+def test_batch_job_writes_report(spark, scratch):
+    from dockmart import jobs
+    from dockmart.sources import tables as T
+
+    bundle = TablesALMS(
+        loads=spark.createDataFrame(ALMS_LOADS, SC.LOAD_ALMS),
+        legs=spark.createDataFrame(ALMS_LEGS, SC.LEG_ALMS),
+        stops=spark.createDataFrame(ALMS_STOPS, SC.LEG_STOP_ALMS),
+        locations=spark.createDataFrame(ALMS_LOCATIONS, SC.LOCATION_ALMS),
+    )
+    src, out = os.path.join(scratch, "alms"), os.path.join(scratch, "out")
+    T.write_tables(bundle, src)
+    jobs.main(["--system", "alms", "--report", "stops", "--input", src, "--output", out,
+               "--as-of", "2025-06-20T12:00:00"], spark=spark)
+    expected = stops.stops_alms_report(bundle, _as_of())
+    assert spark.read.parquet(out).count() == expected.count() > 0
