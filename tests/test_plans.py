@@ -92,3 +92,13 @@ def test_group_totals_and_latest_need_no_window(spark, sf_dir):
 def test_supplier_lists_aggregate_partially(spark, sf_dir):
     text = plan(entry.queries()["supplier_lists"](spark, sf_dir))
     assert "partial_collect_list" in text
+
+
+def test_group_totals_reuse_the_distinct_shuffle(spark, sf_dir):
+    df = entry.queries()["loads_report"](spark, sf_dir)
+    qe = df._jdf.queryExecution()
+    df.collect()
+    final = qe.executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    assert final.count("ReusedExchange") >= 2  # route and carrier totals read the DISTINCT's shuffle
+    assert "ReusedSubquery" in final  # the NOT IN rule is computed once
