@@ -90,7 +90,7 @@ def loads_3g_report(tables: Tables3G, cfg: MartConfig = DEFAULT_CONFIG) -> DataF
 
 
 def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
-    """``loads_data`` of the ALMS loads report: distinct load-leg rows (29 columns)."""
+    """``loads_data`` of the ALMS loads report: distinct load-leg rows (28 columns)."""
     rules = cfg.text
     ld = tables.loads.where(text_ne("Status", C.EXCLUDED_ALMS_LOAD_STATUS, rules))
     legs = tables.legs.select(*[F.col(c).alias(f"ll_{c}") for c in tables.legs.columns])
@@ -105,39 +105,44 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
     j = j.where(text_not_in(life, C.EXCLUDED_LIFE_CYCLES, rules) | life.isNull())
     j = not_in(j, "ll_Loadleg_Id", legs_without_plant_delivery_alms(tables.stops, rules), "Loadleg_ID")
     fmts = cfg.timestamp_formats
-    end = D.safe_timestamp("ll_End_Time", fmts)
-    route, version = F.col("ll_Route"), F.col("ll_Version")
-    cols = {
+    # DISTINCT over the 23 columns the other five are computed from (all of
+    # them output columns), then derive: same rows, narrower shuffle.
+    base = {
         "Loadleg Tag": F.col("ll_Loadleg_tag"),
         "Load Tag": F.col("Load_Tag"),
-        "Activity": R.activity_by_route(route),
         "Load Status": F.col("Status"),
         "Route Pattern": F.col("Rptn"),
         "Load ID": F.col("Load_ID"),
-        "Route": route,
-        "Version": version,
+        "Route": F.col("ll_Route"),
+        "Version": F.col("ll_Version"),
         "Leg": F.col("ll_Leg"),
-        "Route-Version": concat_text(route, C.KEY_DASH, version),
-        "Route-Version-Leg": concat_text(route, C.KEY_DASH, version, C.KEY_DASH, F.col("ll_Leg")),
         "Mode": F.col("ll_Mode"),
         "Loadleg ID": F.col("ll_Loadleg_Id"),
         "Trailer": F.col("ll_Trailer_1"),
         "Trailer 2": F.col("ll_Trailer_2"),
         "Load Start Time": D.safe_timestamp("ll_Start_Time", fmts),
-        "Load End Date": D.date_of(end),
-        "Load End Time": end,
+        "Load End Time": D.safe_timestamp("ll_End_Time", fmts),
         "Estimated Start Time": D.safe_timestamp("ll_Est_Start_Time", fmts),
         "Life Cycle Sequence": life,
         "Status": F.col("ll_Status"),
         "Carrier Code": F.col("ll_Carrier_Code"),
         "Carrier Name": F.col("ll_Carrier_Name"),
-        "Carrier": concat_text(F.col("ll_Carrier_Code"), C.KEY_SPACED_DASH, F.col("ll_Carrier_Name")),
         "Distance": dotted_int("ll_Distance"),
         "Year": F.col("ll_Year"),
         "Week": F.col("ll_Week"),
         "Load Legs Last Updated": F.col("ll_Last_update"),
     }
-    return j.select(*[c.alias(n) for n, c in cols.items()]).distinct()
+    rows = j.select(*[c.alias(n) for n, c in base.items()]).distinct()
+    route, version = F.col("Route"), F.col("Version")
+    return rows.withColumns(
+        {
+            "Activity": R.activity_by_route(route),
+            "Route-Version": concat_text(route, C.KEY_DASH, version),
+            "Route-Version-Leg": concat_text(route, C.KEY_DASH, version, C.KEY_DASH, F.col("Leg")),
+            "Load End Date": D.date_of("Load End Time"),
+            "Carrier": concat_text(F.col("Carrier Code"), C.KEY_SPACED_DASH, F.col("Carrier Name")),
+        }
+    )
 
 
 def loads_alms_report(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
