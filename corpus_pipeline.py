@@ -12,37 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockmart.llm import decontam, mixing, quality, simhash_dedup, token_table
-from dockmart.llm.common import bound_batches, id_remainder, new_path
+from dockmart.llm.common import prepare, id_remainder, new_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier scores 0.5 or more."""
-    bound_batches(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, quality.fit(docs, labels, id_remainder(F.col("doc_id"), 3) != 1))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest doc_id."""
-    bound_batches(spark)
+    prepare(spark)
     return simhash_dedup.keep_one_per_group(docs, shingle=3, max_bits=3)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    bound_batches(spark)
+    prepare(spark)
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (not at all, once, or twice)."""
-    bound_batches(spark)
+    prepare(spark)
     return mixing.repeat_by_mix(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token table of the mix, as read back from its files: doc_id, n_tokens, ids, start."""
-    bound_batches(spark)
+    prepare(spark)
     return token_table.token_table(docs)
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import tempfile
+import time
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,9 +38,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[app]
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand Python at most ``rows`` rows at a time: whole texts can be long, and a batch is held in memory."""
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python at most ``rows`` rows at a time (whole texts can be long, and a batch is held in memory), and see that
+    the workers can import this package: Spark ships it once to each executor."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="dockmart-ship-")) / f"{root.name}.zip"  # read by the driver only
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(path))
+        _SHIPPED.add(app)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -45,12 +63,19 @@ def new_path(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
-    Cuts the lineage: a lost executor costs its own unfinished tasks, never the work before this point.
+    Cuts the lineage: a lost executor costs its own unfinished tasks, never the work before this point. What the written
+    plan shuffled is no longer needed then; Spark deletes shuffle files when the driver collects their garbage, so that
+    is asked for here instead of leaving them on the executors' disks until it happens to come.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.2)  # the cleaner works in the background
+    return spark.read.schema(schema).parquet(path)
 
 
 def id_remainder(doc_id: Column, mod: int) -> Column:
@@ -142,11 +167,19 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
+    """base to the powers 0 to n-1; up to 4 million of them are kept for the next call."""
+    kept = _POWERS.get(int(base))
+    if kept is None or len(kept) < n:
+        out = np.full(max(n, 1 << 12), base, dtype=np.uint64)
         out[0] = 1
-    return np.multiply.accumulate(out)
+        kept = np.multiply.accumulate(out)
+        if len(kept) <= 1 << 22:
+            _POWERS[int(base)] = kept
+    return kept[:n]
 
 
 def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -174,9 +207,27 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
 _BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64))
 
 
+_CHUNK = 1 << 20
+
+
 def word_hashes(data: bytes, spans: tuple[np.ndarray, np.ndarray], seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of each word of ``data``."""
-    return span_hashes(_BYTE_VALUES[np.frombuffer(data, dtype=np.uint8)], *spans, seed=seed)
+    """A 64-bit hash of each word of ``data``; about a megabyte of text is worked on at a time."""
+    starts, ends = spans
+    raw = np.frombuffer(data, dtype=np.uint8)
+    if len(raw) <= _CHUNK:
+        return span_hashes(_BYTE_VALUES[raw], starts, ends, seed)
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + _CHUNK, side="right")))
+        high = int(ends[j - 1])
+        if high - low > _CHUNK:  # one word longer than a chunk
+            out[i] = int.from_bytes(hashlib.blake2b(data[low:high], digest_size=8).digest(), "little")
+        else:
+            out[i:j] = span_hashes(_BYTE_VALUES[raw[low:high]], starts[i:j] - low, ends[i:j] - low, seed)
+        i = j
+    return out
 
 
 def gram_hashes(words: np.ndarray, n: int, seed: int) -> np.ndarray:

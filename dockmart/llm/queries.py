@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockmart.llm import ann, chat_format, decontam, html_text, mixing, quality, simhash_dedup, substring_dedup, token_table, toxicity
-from dockmart.llm.common import bound_batches, id_remainder
+from dockmart.llm.common import prepare, id_remainder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    bound_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -82,14 +82,14 @@ def op9_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 13-word windows that also start in an earlier document."""
-    return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), k=13, m=7)
+    return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), k=13, m=5)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to the token table."""
     import corpus_pipeline
 
-    bound_batches(spark)
+    prepare(spark)
     return corpus_pipeline.run(spark, sf_dir)
 
 

@@ -12,10 +12,12 @@ leaves the id pages alone.
 Spark's own Parquet writer commits the files (a lost executor's task is redone, its half file never seen). Where a
 range starts is the sum of the ranges before it: one row per range, read from the metadata columns only.
 
-**Encoding.** The vocabulary drops white space and never joins across it, so a text's ids are the ids of its words one
-after another (checked against whole-text encoding in the tests). Each worker keeps the ids of the words it has met, up
-to ``CACHE_WORDS``, then starts over; new words go through the tokenizers library in batches. Words are cut at blank,
-tab, line feed, vertical tab, form feed and carriage return only; a longer stretch is one "word", whatever it holds.
+**Encoding.** The vocabulary lower-cases, drops white space and never joins across it, nor across the border between a
+letter and the punctuation after it; so a text's ids are the ids of its words, and a word's those of its letters and of
+the punctuation at its end, one after another (checked against whole-text encoding in the tests). Each worker keeps the ids
+of the parts it has met, up to ``CACHE_PARTS``, then starts over; new parts go through the tokenizers library, plain
+Latin letters straight to its model, all others through its whole encoding. Words are cut at blank, tab, line feed, vertical tab,
+form feed and carriage return only; a longer stretch is one "word", whatever it holds.
 
 Edge cases: a null text is empty: only the end id. Repeated doc_ids are ordered by a hash of their texts; null doc_ids
 come first. Extra columns are ignored. An empty table gives an empty table.
@@ -23,7 +25,10 @@ come first. Extra columns are ignored. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,18 +36,21 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from dockmart.llm.common import new_path
 
 END_ID = 1
-#: Words whose ids a worker remembers (about 150 bytes each).
-CACHE_WORDS = 400_000
+#: Words and parts of words whose ids a worker remembers (about 200 bytes each).
+CACHE_WORDS, CACHE_PARTS = 400_000, 500_000
+#: Bytes of text that are encoded together.
+TOGETHER = 4 << 20
 #: Ids that one Arrow batch may hold before it is handed on.
 BATCH_IDS = 1 << 20
 
 FORMAT = "doc_id long, n_tokens long, part int, part_start long, ids array<int>"
 
-_CACHE: dict[str, dict[bytes, bytes]] = {}
+_CACHE: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
 _TOKENIZERS: dict[str, object] = {}
 
 
@@ -59,29 +67,101 @@ def _encoder(path: str | None):
         from tokenizers import Tokenizer
 
         _TOKENIZERS[key] = Tokenizer.from_file(path or vocabulary_path())
-        _CACHE[key] = {}
+        _CACHE[key] = ({}, {})
     return _TOKENIZERS[key], _CACHE[key]
 
 
-def encode_words(words: list[bytes], path: str | None = None) -> bytes:
-    """The ids of all words, one after another, as little-endian unsigned 32-bit integers."""
-    tokenizer, cache = _encoder(path)
-    new = [w for w in dict.fromkeys(words) if w not in cache]
-    if new:
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = list(dict.fromkeys(words))
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            found = tokenizer.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)
-            cache.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
-    return b"".join([cache[w] for w in words])
-
-
-def encode_text(text: bytes, path: str | None = None) -> bytes:
-    """The ids of a whole UTF-8 text; long texts go by pieces of 100,000 words."""
-    words = text.split()
-    return b"".join(encode_words(words[a : a + 100_000], path) for a in range(0, len(words), 100_000))
+#: Plain letters, then punctuation that ends the word.
+_PLAIN = re.compile(rb"([a-z]+)([!-/:-@\[-`{-~]*)")
+#: Anything that ends in a Latin letter, then such punctuation (not U+0130, which lower-cases to a letter and a mark).
+_LATIN = re.compile("(.*[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\\[-`{-~]+)", re.S)
+
+
+def _cut(word: bytes) -> tuple[bytes, bytes]:
+    """A lower-case word's main part and the punctuation at its end (which may be empty)."""
+    found = _PLAIN.fullmatch(word)
+    if found:
+        return found.groups()
+    found = _LATIN.fullmatch(word.decode("utf-8"))
+    return (found[1].encode(), found[2].encode()) if found else (word, b"")
+
+
+def _letters() -> dict[int, str]:
+    """How the library writes the bytes of each Latin letter, as it asks its model."""
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    return {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x250) if c not in (0xF7, 0x130)}
+
+
+_LETTERS = _letters()
+_LATIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
+def _learn(parts: set[bytes], tokenizer, cache: dict[bytes, bytes]) -> None:
+    """Put the ids of ``parts`` into the cache."""
+    others = []
+    tokenize = tokenizer.model.tokenize
+    for part in parts:
+        text = part.decode("utf-8")
+        if not part.isascii():
+            text = text.lower()
+        if _LATIN_WORD.fullmatch(text):
+            cache[part] = array("I", [t.id for t in tokenize(text.translate(_LETTERS))]).tobytes()
+        else:
+            others.append(part)
+    for a in range(0, len(others), 20_000):
+        some = others[a : a + 20_000]
+        found = tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
+        cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
+
+
+def _with_special(text: bytes, special: list[bytes], tokenizer, path: str | None) -> bytes:
+    out = []
+    for holds, words in itertools.groupby(text.split(), lambda w: any(s in w.lower() for s in special)):
+        if holds:
+            out += [np.array(tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+        else:
+            out += encode_texts([b" ".join(words)], path)
+    return b"".join(out)
+
+
+def encode_texts(texts: list[bytes], path: str | None = None) -> list[bytes]:
+    """The ids of each whole UTF-8 text as little-endian unsigned 32-bit integers.
+
+    A word that holds the string of a special token is matched as it is written, so it goes to the library whole.
+    """
+    tokenizer, (ids, part_ids) = _encoder(path)
+    special = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    lowered = [t.lower() for t in texts]
+    if any(s in t for s in special for t in lowered):
+        return [_with_special(t, special, tokenizer, path) if any(s in t.lower() for s in special) else encode_texts([t], path)[0] for t in texts]
+    split = [t.split() for t in lowered]
+    words = set().union(*split)
+    if len(ids) + len(words) > CACHE_WORDS:
+        ids.clear()
+    new = words - ids.keys()
+    cuts = {w: _cut(w) for w in new}
+    parts = {p for cut in cuts.values() for p in cut if p}
+    if len(part_ids) + len(parts) > CACHE_PARTS:
+        part_ids.clear()
+    _learn(parts - part_ids.keys(), tokenizer, part_ids)
+    for w, (a, b) in cuts.items():
+        ids[w] = part_ids[a] + part_ids[b] if b else part_ids[a]
+    return [b"".join([ids[w] for w in words]) for words in split]
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Rows (doc_id, text) in groups of about ``TOGETHER`` bytes of text."""
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            ids.append(doc_id)
+            texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+            size += len(texts[-1])
+            if size >= TOGETHER:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        if ids:
+            yield ids, texts
 
 
 def write_tokens(
@@ -122,9 +202,9 @@ def write_tokens(
             )
 
         end = np.asarray([END_ID], "<u4").tobytes()
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = encode_text(text.as_buffer().to_pybytes() if text.is_valid else b"", tokenizer) + end
+        for doc_ids, texts in _together(batches):
+            for doc_id, data in zip(doc_ids, encode_texts(texts, tokenizer), strict=True):
+                data += end
                 ids.append(doc_id)
                 starts.append(done)
                 encoded.append(data)
@@ -155,7 +235,8 @@ def read_tokens(spark, path: str) -> DataFrame:
     totals = table.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return table.join(bases, "part").withColumn("start", F.col("base") + F.col("part_start")).drop("part", "part_start", "base")
+    # one row a range, and so at most as many as the write had partitions: small whatever the ranges hold
+    return table.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("part_start")).drop("part", "part_start", "base")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def test_empty_tables(spark):
     assert substring_dedup.remove_repeats(docs).count() == 0
 
 
-@pytest.mark.parametrize(("seed", "k", "m"), [(2, 13, 7), (3, 5, 3), (4, 4, 4)])
+@pytest.mark.parametrize(("seed", "k", "m"), [(2, 13, 5), (3, 5, 3), (4, 4, 4)])
 def test_substring_removal_equals_brute_force(spark, seed, k, m):
     rows = _copies(seed)
     docs = docs_frame(spark, rows, extra=("pos", "source", "start", "mh"))
@@ -102,7 +102,7 @@ def test_substring_removal_equals_brute_force(spark, seed, k, m):
 def test_rows_of_one_id_with_different_texts(spark):
     a = " ".join(f"w{i}" for i in range(40))
     rows = [(1, a), (7, "zero " + a), (7, a[: len(a) // 2] + " end"), (8, "nothing of this")]
-    got = substring_dedup.remove_repeats(docs_frame(spark, rows), 13, 7).collect()
+    got = substring_dedup.remove_repeats(docs_frame(spark, rows), 13, 5).collect()
     want = sorted((i, n, gone) for (i, _), (n, gone, _) in zip(rows, removed(rows, 13), strict=True))
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == want
 

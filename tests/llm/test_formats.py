@@ -202,10 +202,23 @@ def test_empty_token_table(spark):
 
 
 def test_cache_starts_over(monkeypatch):
+    texts = [b"The cat sat, on the mat; and the dog's (tail) was wet.", "Ünd él'así… mañana!? x² ´".encode()] * 3
+    whole = token_table.encode_texts(texts)
+    monkeypatch.setattr(token_table, "CACHE_PARTS", 4)
     token_table._CACHE.clear()
     token_table._TOKENIZERS.clear()
-    words = [w.encode() for w in words_of("the cat sat on the mat and the dog ran to it " * 5)]
-    whole = token_table.encode_words(words)
-    monkeypatch.setattr(token_table, "CACHE_WORDS", 4)
-    again = b"".join(token_table.encode_words([w]) for w in words)
-    assert again == whole and len(token_table._CACHE[""]) <= 12
+    assert [token_table.encode_texts([t])[0] for t in texts] == whole
+    token_table._CACHE.clear()
+    token_table._TOKENIZERS.clear()
+
+
+def test_parts_of_words_encode_like_whole_texts():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_table.vocabulary_path())
+    rng = np.random.default_rng(4)
+    bits = list("aZé'ßñ.,!<|>-_\"0²٣字k\u0301\u00a0\u2026\u0130ſ") + ["don't", "'s", "'ll", "<|endoftext|>", "<|ENDOFTEXT|>", "I'M", "\u212a", "\ufb01", "\U0001f600"]
+    texts = [" ".join("".join(rng.choice(bits, rng.integers(1, 7))) for _ in range(40)) for _ in range(300)]
+    got = token_table.encode_texts([t.encode() for t in texts])
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
