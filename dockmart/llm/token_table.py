@@ -38,19 +38,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from dockmart.llm.common import new_path
+from dockmart.llm.common import new_path, word_spans
 
 END_ID = 1
-#: Words and parts of words whose ids a worker remembers (about 200 bytes each).
-CACHE_WORDS, CACHE_PARTS = 400_000, 500_000
+#: Parts of words whose ids a worker remembers (about 200 bytes each).
+CACHE_PARTS = 600_000
 #: Bytes of text that are encoded together.
-TOGETHER = 4 << 20
+TOGETHER = 12 << 20
 #: Ids that one Arrow batch may hold before it is handed on.
 BATCH_IDS = 1 << 20
 
 FORMAT = "doc_id long, n_tokens long, part int, part_start long, ids array<int>"
 
-_CACHE: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
+_CACHE: dict[str, dict[bytes, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
 
 
@@ -67,7 +67,7 @@ def _encoder(path: str | None):
         from tokenizers import Tokenizer
 
         _TOKENIZERS[key] = Tokenizer.from_file(path or vocabulary_path())
-        _CACHE[key] = ({}, {})
+        _CACHE[key] = {}
     return _TOKENIZERS[key], _CACHE[key]
 
 
@@ -101,9 +101,10 @@ def _learn(parts: set[bytes], tokenizer, cache: dict[bytes, bytes]) -> None:
     others = []
     tokenize = tokenizer.model.tokenize
     for part in parts:
-        text = part.decode("utf-8")
-        if not part.isascii():
-            text = text.lower()
+        if part.isalpha():  # for bytes: plain letters
+            cache[part] = array("I", [t.id for t in tokenize(part.decode())]).tobytes()
+            continue
+        text = part.decode("utf-8").lower()
         if _LATIN_WORD.fullmatch(text):
             cache[part] = array("I", [t.id for t in tokenize(text.translate(_LETTERS))]).tobytes()
         else:
@@ -129,30 +130,49 @@ def encode_texts(texts: list[bytes], path: str | None = None) -> list[bytes]:
 
     A word that holds the string of a special token is matched as it is written, so it goes to the library whole.
     """
-    tokenizer, (ids, part_ids) = _encoder(path)
+    tokenizer, cache = _encoder(path)
     special = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
     lowered = [t.lower() for t in texts]
     if any(s in t for s in special for t in lowered):
-        return [_with_special(t, special, tokenizer, path) if any(s in t.lower() for s in special) else encode_texts([t], path)[0] for t in texts]
-    split = [t.split() for t in lowered]
-    words = set().union(*split)
-    if len(ids) + len(words) > CACHE_WORDS:
-        ids.clear()
-    new = words - ids.keys()
-    cuts = {w: _cut(w) for w in new}
-    parts = {p for cut in cuts.values() for p in cut if p}
-    if len(part_ids) + len(parts) > CACHE_PARTS:
-        part_ids.clear()
-    _learn(parts - part_ids.keys(), tokenizer, part_ids)
-    for w, (a, b) in cuts.items():
-        ids[w] = part_ids[a] + part_ids[b] if b else part_ids[a]
-    return [b"".join([ids[w] for w in words]) for words in split]
+        holds = [any(s in t for s in special) for t in lowered]
+        rest = iter(encode_texts([t for t, h in zip(texts, holds, strict=True) if not h], path))
+        return [_with_special(t, special, tokenizer, path) if h else next(rest) for t, h in zip(texts, holds, strict=True)]
+    if len(texts) == 1 and len(texts[0]) > 4 * TOGETHER and (cut := texts[0].rfind(b" ", 0, 2 * TOGETHER)) > 0:
+        return [encode_texts([texts[0][:cut]], path)[0] + encode_texts([texts[0][cut:]], path)[0]]
+    if len(texts) > 1 and max(map(len, texts)) > 4 * TOGETHER:
+        return [encode_texts([t], path)[0] for t in texts]
+    joined = b"\n".join(lowered)
+    starts, _ = word_spans(joined)
+    if not len(starts):
+        return [b""] * len(texts)
+    # each word with the white space after it; equal ones get one number
+    offsets = pa.py_buffer(np.append(starts, len(joined)).astype(np.int64))
+    numbered = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(joined)]).dictionary_encode()
+    cuts = [_cut(w.rstrip()) for w in numbered.dictionary.to_pylist()]
+    parts = {p for cut in cuts for p in cut if p}
+    new = parts - cache.keys()
+    if len(cache) + len(new) > CACHE_PARTS:
+        cache.clear()
+        new = parts
+    _learn(new, tokenizer, cache)
+    ids = [cache[a] + cache[b] if b else cache[a] for a, b in cuts]
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    begins = np.cumsum(lengths) - lengths
+    numbers = numbered.indices.to_numpy()
+    size = lengths[numbers]
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1]) + np.repeat(begins[numbers] - (ends - size), size)
+    flat = np.frombuffer(b"".join(ids), "<u4")[at]
+    text_ends = np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)
+    words_before = np.searchsorted(starts, text_ends)
+    edges = np.concatenate(([0], ends))[np.concatenate(([0], words_before))].tolist()
+    return [flat[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
     """Rows (doc_id, text) in groups of about ``TOGETHER`` bytes of text."""
+    ids, texts, size = [], [], 0
     for batch in batches:
-        ids, texts, size = [], [], 0
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             ids.append(doc_id)
             texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
@@ -160,8 +180,8 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[by
             if size >= TOGETHER:
                 yield ids, texts
                 ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
+    if ids:
+        yield ids, texts
 
 
 def write_tokens(
