@@ -110,7 +110,6 @@ MISSED_OPEN = "Open"
 MISSED_ARRIVED = "Arrived"
 
 # Shift id layout: crew letter + shift start as yyyyMMdd-HH.
-SHIFT_ID_FORMAT = "yyyyMMdd-HH"
 
 # Crew rules. Weekdays are numbered Sunday=1 .. Saturday=7; times are
 # inclusive bounds on the planned arrival's time of day; the shift starts

@@ -14,6 +14,7 @@ codegen. They reproduce T-SQL ``DATETIME`` semantics:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -31,18 +32,26 @@ def safe_timestamp(c: ColumnOrName, formats: Sequence[str] = ()) -> Column:
 
     ISO text and timestamps convert directly; other layouts are tried in
     order from ``formats`` (Spark datetime patterns, optional sections
-    allowed). Bad text gives NULL. The other layouts are only tried for text
-    that starts with a digit: a failed pattern parse is costly, and text such
-    as 'TBD' can never match.
+    allowed) on the text without blanks around it. Bad text gives NULL. A
+    failed pattern parse is costly, so a layout that begins with digits is only
+    tried on text that does; a layout that begins with a name is always tried.
     """
     x = col(c)
     parsed = x.try_cast(NTZ)
     if not formats:
         return parsed
-    text = x.cast("string")
-    alternatives = [F.try_to_timestamp(text, F.lit(fmt)).cast(NTZ) for fmt in formats]
-    numeric_start = F.substring(text, 1, 1).between("0", "9")
-    return F.coalesce(parsed, F.when(numeric_start, F.coalesce(*alternatives)))
+    text = F.trim(x.cast("string"))
+    digits = F.substring(text, 1, 1).between("0", "9")
+    alternatives = []
+    for fmt in formats:
+        found = F.try_to_timestamp(text, F.lit(fmt)).cast(NTZ)
+        alternatives.append(F.when(digits, found) if _begins_with_digits(fmt) else found)
+    return F.coalesce(parsed, *alternatives)
+
+
+def _begins_with_digits(fmt: str) -> bool:
+    """True where all text of a Spark datetime pattern starts with a digit."""
+    return re.match(r"(y|u|d|H|h|k|K|m|s|M{1,2}(?!M))", fmt) is not None
 
 
 def date_of(ts: ColumnOrName) -> Column:

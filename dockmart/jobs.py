@@ -14,11 +14,16 @@ mart relies on are applied (see :func:`dockmart.session.apply_runtime_conf`).
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if not __package__:  # started as a script: its own folder is on the path, the package's is not
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
 from dockmart.config import MartConfig, TextRules
 from dockmart.functions.dates import NTZ
 from dockmart.plans.loads import loads_3g_report, loads_alms_report

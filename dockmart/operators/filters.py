@@ -32,10 +32,3 @@ def not_in_or_null(c: ColumnOrName, values: Iterable[str], rules: TextRules = Te
 def between_times(c: ColumnOrName, start: datetime, end: datetime) -> Column:
     """``x BETWEEN start AND end`` on a zone-less timestamp (inclusive)."""
     return col(c).between(F.lit(start).cast(NTZ), F.lit(end).cast(NTZ))
-
-
-def keep(df: DataFrame, *conditions: Column) -> DataFrame:
-    """``WHERE c1 AND c2 ...``."""
-    for cond in conditions:
-        df = df.where(cond)
-    return df

@@ -115,42 +115,23 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | Non
 
     Spark plans ``NOT IN`` as a null-aware anti join that always broadcasts
     the list, which fails once the list outgrows an executor. This form is a
-    plain ``left_anti`` join (shuffle or broadcast, chosen on size) plus one
-    scalar subquery that counts the list and its NULLs; the subquery result
-    is a single row, so nothing that grows with the data is broadcast.
-
-    Cost: the list is evaluated twice, once as the join's build side and
-    once inside the subquery. The optimizer copies the NULL rule onto the
-    build side (it constrains the join key), so the two plans differ and
-    Spark does not share their shuffle. For the reports the list is a
-    grouped aggregate over four narrow columns, small next to the main scan.
+    plain ``left_anti`` join (shuffle or broadcast, chosen on size) plus two
+    existence tests, each a one-row scalar subquery, so nothing that grows
+    with the data is broadcast.
+
+    Cost: whether the list holds a NULL needs only its rows with a NULL key;
+    the ``IS NULL`` filter passes a grouping on that key and reaches the
+    Parquet reader, which skips row groups without NULLs. Whether it is empty
+    stops at its first row and matters to rows with a NULL key only.
     """
     excluded_key = excluded_key or key
     keys = excluded.select(F.col(excluded_key).alias("__nin_key"))
-    # One integer carries the NULL rule: 0 empty list (keep all), 1 list
-    # without NULL (keep unmatched non-NULL keys), 2 NULL in list (keep none).
-    # A single scalar keeps it to one subquery; a struct would be split into
-    # one subquery per field by the optimizer.
-    mode = keys.select(
-        F.when(F.count(F.lit(1)) == 0, F.lit(0))
-        .when(F.count_if(F.col("__nin_key").isNull()) > 0, F.lit(2))
-        .otherwise(F.lit(1))
-    ).scalar()
+    count = F.count(F.lit(1))
+    nulls = keys.where(F.col("__nin_key").isNull()).limit(1).select(count).scalar()
+    rows = keys.limit(1).select(count).scalar()
     kept = df.join(
         keys.where(F.col("__nin_key").isNotNull()),
         df[key] == F.col("__nin_key"),
         "left_anti",
     )
-    # mode 0 keeps all, 1 keeps non-NULL keys, 2 keeps none; written with a
-    # single reference to the subquery (each reference would be its own job).
-    return kept.where(mode + F.col(key).isNull().cast("int") <= 1)
-
-
-def not_in_sql_form(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | None = None) -> DataFrame:
-    """The same filter written as SQL ``NOT IN`` (Spark's null-aware anti join).
-
-    Kept for small lists and as a cross-check of :func:`not_in`; it
-    broadcasts the whole list.
-    """
-    excluded_key = excluded_key or key
-    return df.where(~F.col(key).isin(excluded.select(excluded_key)))
+    return kept.where((nulls == 0) & (F.col(key).isNotNull() | (rows == 0)))

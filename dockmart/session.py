@@ -11,15 +11,10 @@ transforms rely on in one place:
   statistics instead of hand-placed broadcast hints.
 * ``spark.sql.codegen.hugeMethodLimit=8000`` – keep generated methods small
   enough for the JIT (see ``BASE_CONF``).
-* ``spark.checkpoint.dir`` – read from the cluster configuration; only set
-  here when it is missing (local runs and tests).
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 BASE_CONF: dict[str, str] = {
@@ -66,31 +61,4 @@ def local_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder, setting one only where none is set.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
-    store) and Spark already uses it. Only when it is unset (local runs,
-    tests) a fresh scratch folder is made and registered.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: only the SQL conf is visible
-        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        if not conf_dir:
-            raise RuntimeError("spark.checkpoint.dir is not set for this session")
-        return conf_dir
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    path = fallback or tempfile.mkdtemp(prefix="dockmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_report(
@@ -18,8 +19,13 @@ def write_report(
 
     ``partition_by`` (for example ``["Planned Departure Date"]``) lets readers
     prune by day; the report's column names contain blanks and brackets,
-    which Parquet and catalogs accept as they are.
+    which Parquet and catalogs accept as they are. The rows of a partition are
+    brought together first, so that not every task writes a file into every
+    folder; adaptive execution splits a large partition over several tasks and
+    joins small ones.
     """
+    if partition_by:
+        report = report.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     writer = report.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -41,41 +41,8 @@ def as_of_events() -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, spread over the cores when its file cannot be split.
-
-    The driver's test tables are single Parquet files, often one row group,
-    and Spark cannot split a row group: the scan then runs in one task and so
-    does every row expression up to the first shuffle. Such a scan is spread
-    once (round robin) to the session's default parallelism. A real source
-    arrives in many splits and is left as it is; no exchange is added.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        spread = _unsplittable(path, cores) and df.rdd.getNumPartitions() * 2 < cores
-    except Exception:  # e.g. a Spark Connect session: no RDD view, read as is
-        spread = False
-    if spread:
-        df = df.repartition(cores, df.columns[0])
-    return df
-
-
-SPREAD_MIN_BYTES = 1 << 20  # below this a single task is fast enough
-
-
-def _unsplittable(path: str, cores: int) -> bool:
-    """A local single file with fewer row groups than cores, worth spreading."""
-    try:
-        import os
-
-        import pyarrow.parquet as pq
-
-        if os.path.getsize(path) < SPREAD_MIN_BYTES:
-            return False
-        return pq.ParquetFile(path).metadata.num_row_groups < cores
-    except Exception:  # not a local file: leave the scan as it is
-        return False
+    """One driver table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _secs(ts: Column, seconds: Column) -> Column:
@@ -118,6 +85,18 @@ def _code(key: Column) -> Column:
     )
 
 
+def _location_code(key: Column) -> Column:
+    """Location code of a supplier key: keys 1-5 are the plants, 6 repeats the first, else S<key>.
+
+    Stops name a plant by one key in five, at any size; a plant has one or two locations, so the join of
+    stops to locations grows with the stops alone.
+    """
+    return (
+        F.when(key.isin(1, 6), "10").when(key == 2, "10A").when(key == 3, "11").when(key == 4, "FMS").when(key == 5, "AVS")
+        .otherwise(F.concat(F.lit("S"), key.cast("string")))
+    )
+
+
 # --- stop times from lineitem ----------------------------------------------------
 
 
@@ -357,7 +336,7 @@ def leg_stop_alms(lineitem: DataFrame) -> DataFrame:
 def location_alms(supplier: DataFrame) -> DataFrame:
     n = F.col("s_nationkey")
     return supplier.select(
-        F.concat(F.lit(" "), _code(F.col("s_suppkey")), F.lit("  ")).alias("Location_Code"),
+        F.concat(F.lit(" "), _location_code(F.col("s_suppkey")), F.lit("  ")).alias("Location_Code"),
         F.col("s_name").alias("Location_Name"),
         F.when(n >= 5, F.concat(F.lit("Planner "), n.cast("string"))).alias("LE"),
         F.when(n < 3, F.lit(None).cast("string")).when(n < 18, "Supplier").otherwise("Carrier").alias("LocationType"),

@@ -26,6 +26,14 @@ def _dotted(x: str) -> str:
     )
 
 
+def _location_code(key: str) -> str:
+    """Location code of a supplier key: keys 1-5 are the plants, 6 repeats the first."""
+    return (
+        f"(CASE {key} WHEN 1 THEN '10' WHEN 6 THEN '10' WHEN 2 THEN '10A' WHEN 3 THEN '11' "
+        f"WHEN 4 THEN 'FMS' WHEN 5 THEN 'AVS' ELSE 'S' || CAST({key} AS VARCHAR) END)"
+    )
+
+
 def _code(key: str) -> str:
     return (
         f"(CASE {key} % 25 WHEN 0 THEN '10' WHEN 1 THEN '10A' WHEN 2 THEN '11' "
@@ -211,7 +219,7 @@ leg_stop_alms AS (
         (),
         f"""
 location_alms AS (
-  SELECT ' ' || {_code("s_suppkey")} || '  ' AS Location_Code,
+  SELECT ' ' || {_location_code("s_suppkey")} || '  ' AS Location_Code,
     s_name AS Location_Name,
     CASE WHEN s_nationkey >= 5 THEN 'Planner ' || CAST(s_nationkey AS VARCHAR) END AS LE,
     CASE WHEN s_nationkey < 3 THEN NULL WHEN s_nationkey < 18 THEN 'Supplier' ELSE 'Carrier' END AS LocationType

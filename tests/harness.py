@@ -77,3 +77,10 @@ def compare(spark_df, con: duckdb.DuckDBPyConnection, sql: str, check_types: boo
         diff_r = [r for r in rrows if r not in lset][:3]
         problems.append(f"values differ; spark-only sample={diff_l} duckdb-only sample={diff_r}")
     return problems
+
+
+def not_in_sql_form(df, key, excluded, excluded_key=None):
+    """``NOT IN`` as SQL writes it (Spark's null-aware anti join, which broadcasts the whole list)."""
+    from pyspark.sql import functions as F
+
+    return df.where(~F.col(key).isin(excluded.select(excluded_key or key)))

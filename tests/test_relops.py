@@ -7,8 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dockmart.operators.aggregates import keys_without, latest_per_key, ordered_lists, with_group_totals
-from dockmart.operators.joins import left_join_on, not_in, not_in_sql_form, role_join, trimmed_key_join
+from dockmart.operators.joins import left_join_on, not_in, role_join, trimmed_key_join
 from dockmart.config import TextRules
+from harness import not_in_sql_form
 
 
 def _keys(spark, values, name="k"):
