@@ -71,6 +71,18 @@ def simhash(hashes: np.ndarray) -> int:
     return int(_pack((2 * _bits(hashes).sum(0, dtype=np.int64) > len(hashes))[None, :].astype(np.uint8))[0])
 
 
+def _groups(texts: Iterator[bytes], most: int = 2 << 20) -> Iterator[list[bytes]]:
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 class ItemIndex:
     """A block of benchmark items, ready to search documents with."""
 
@@ -113,6 +125,26 @@ class ItemIndex:
                 out[size].append(p)
         return out
 
+    def candidates(self, texts: list[bytes]) -> list[bool]:
+        """Which of several texts hold a shingle of an item; the others cannot match."""
+        joined = b"\n".join(texts).translate(_NORMAL)
+        spans = word_spans(joined)
+        words = word_hashes(joined, spans)
+        text_of = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), spans[0], side="right")
+        out = np.zeros(len(texts), bool)
+        for n in self.grams:
+            grams = gram_hashes(words, n, seed=n)
+            maybe = np.flatnonzero(self.filters[n][grams & np.uint64((1 << _FILTER_BITS) - 1)])
+            maybe = maybe[text_of[maybe] == text_of[maybe + n - 1]]
+            out[text_of[maybe[np.isin(grams[maybe], self.grams[n][0])]]] = True
+        return out.tolist()
+
+    def search(self, texts: Iterator[bytes]) -> Iterator[list[tuple[int, float, int, int, int]]]:
+        """The matches of each text, a bounded number of bytes looked at together."""
+        for group in _groups(texts):
+            for text, hit in zip(group, self.candidates(group), strict=True):
+                yield self.matches(text) if hit else []
+
     def matches(self, data: bytes) -> list[tuple[int, float, int, int, int]]:
         """(item_id, similarity, first word, words, Hamming distance) of the best window for each item found."""
         words = _words(data)
@@ -193,10 +225,8 @@ def _matcher(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if text.is_valid:
-                    rows += [(doc_id, *m) for m in index.matches(text.as_buffer().to_pybytes())]
+            texts = (t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1))
+            rows = [(doc_id, *m) for doc_id, found in zip(batch.column(0).to_pylist(), index.search(texts), strict=True) for m in found]
             names = [c.split()[0] for c in _MATCH.split(", ")]
             frame = pd.DataFrame(rows, columns=names).astype({"hamming": "int32", "similarity": "float64"})
             yield pa.RecordBatch.from_pandas(frame, schema=_MATCH_SCHEMA, preserve_index=False)
@@ -229,6 +259,6 @@ def _cleanness(shared):
     @F.pandas_udf("boolean")
     def clean(text: pd.Series) -> pd.Series:
         index = shared.value
-        return pd.Series([x is None or not index.matches(bytes(x)) for x in text], dtype=bool)
+        return pd.Series([not found for found in index.search(b"" if x is None else bytes(x) for x in text)], dtype=bool)
 
     return clean
