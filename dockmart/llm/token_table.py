@@ -42,9 +42,9 @@ from dockmart.llm.common import new_path, word_spans
 
 END_ID = 1
 #: Parts of words whose ids a worker remembers (about 200 bytes each).
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 #: Bytes of text that are encoded together.
-TOGETHER = 12 << 20
+TOGETHER = 6 << 20
 #: Ids that one Arrow batch may hold before it is handed on.
 BATCH_IDS = 1 << 20
 
