@@ -66,8 +66,12 @@ def entry_success(
     )
 
 
-def tags_per_shift(stops: DataFrame, day: str, crew: str, tag: str) -> DataFrame:
-    """Distinct load tags per day and crew."""
+def tags_per_shift(
+    stops: DataFrame, day: str, crew: str, tag: str, route: str | None = None, excluded_prefix: str | None = None
+) -> DataFrame:
+    """Distinct load tags per day and crew, without the routes that start with ``excluded_prefix``."""
+    if route is not None and excluded_prefix is not None:
+        stops = stops.where(F.col(route).isNull() | ~F.col(route).startswith(excluded_prefix))
     return stops.groupBy(day, crew).agg(F.count_distinct(F.col(tag)).alias("distinct_tags"))
 
 

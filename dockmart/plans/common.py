@@ -81,9 +81,11 @@ def supplier_lists_alms(stops: DataFrame, locations: DataFrame, rules: TextRules
     Customer stops joined to the location master on the trimmed code; only
     supplier locations or stops whose location is unknown or untyped are
     kept (the type test sits after the outer join). A code with two names
-    appears twice, as the distinct is on the whole tuple.
+    appears twice, as the distinct is on the whole tuple. Repeated codes of a
+    leg go before the join; rows without a leg, which no report can show, too.
     """
-    s = stops.where(text_in("cus", C.STOP_CUSTOMER_CODES, rules)).select("Loadleg_ID", "Stop_Code")
+    s = stops.where(text_in("cus", C.STOP_CUSTOMER_CODES, rules) & F.col("Loadleg_ID").isNotNull())
+    s = s.select("Loadleg_ID", "Stop_Code").distinct()
     j = trimmed_key_join(
         s,
         locations,
