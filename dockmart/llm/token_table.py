@@ -42,9 +42,9 @@ from dockmart.llm.common import new_path, word_spans
 
 END_ID = 1
 #: Parts of words whose ids a worker remembers (about 200 bytes each).
-CACHE_PARTS = 400_000
+CACHE_PARTS = 500_000
 #: Bytes of text that are encoded together.
-TOGETHER = 6 << 20
+TOGETHER = 9 << 20
 #: Ids that one Arrow batch may hold before it is handed on.
 BATCH_IDS = 1 << 20
 
@@ -79,6 +79,8 @@ _LATIN = re.compile("(.*[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\\[
 
 def _cut(word: bytes) -> tuple[bytes, bytes]:
     """A lower-case word's main part and the punctuation at its end (which may be empty)."""
+    if word.isalpha():  # for bytes: plain letters
+        return word, b""
     found = _PLAIN.fullmatch(word)
     if found:
         return found.groups()
