@@ -41,9 +41,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token table of the mix, as read back from its files: doc_id, n_tokens, ids, start."""
+    """The token table of the mix, as read back from its files: doc_id, n_tokens, ids, start.
+
+    Workers that have run the earlier stages hold memory already, so this stage's caches are smaller than the operator's.
+    """
     prepare(spark)
-    return token_table.token_table(docs)
+    return token_table.token_table(docs, cache_parts=300_000, together=4 << 20)
 
 
 STAGES = [

@@ -127,7 +127,7 @@ def _with_special(text: bytes, special: list[bytes], tokenizer, path: str | None
     return b"".join(out)
 
 
-def encode_texts(texts: list[bytes], path: str | None = None) -> list[bytes]:
+def encode_texts(texts: list[bytes], path: str | None = None, cache_parts: int | None = None) -> list[bytes]:
     """The ids of each whole UTF-8 text as little-endian unsigned 32-bit integers.
 
     A word that holds the string of a special token is matched as it is written, so it goes to the library whole.
@@ -153,7 +153,7 @@ def encode_texts(texts: list[bytes], path: str | None = None) -> list[bytes]:
     cuts = [_cut(w.rstrip()) for w in numbered.dictionary.to_pylist()]
     parts = {p for cut in cuts for p in cut if p}
     new = parts - cache.keys()
-    if len(cache) + len(new) > CACHE_PARTS:
+    if len(cache) + len(new) > (cache_parts or CACHE_PARTS):
         cache.clear()
         new = parts
     _learn(new, tokenizer, cache)
@@ -171,7 +171,7 @@ def encode_texts(texts: list[bytes], path: str | None = None) -> list[bytes]:
     return [flat[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+def _together(batches: Iterator[pa.RecordBatch], together: int | None = None) -> Iterator[tuple[list, list[bytes]]]:
     """Rows (doc_id, text) in groups of about ``TOGETHER`` bytes of text."""
     ids, texts, size = [], [], 0
     for batch in batches:
@@ -179,7 +179,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[by
             ids.append(doc_id)
             texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
             size += len(texts[-1])
-            if size >= TOGETHER:
+            if size >= (together or TOGETHER):
                 yield ids, texts
                 ids, texts, size = [], [], 0
     if ids:
@@ -192,8 +192,13 @@ def write_tokens(
     tokenizer: str | None = None,
     row_group_bytes: int = 16 << 20,
     page_bytes: int = 256 << 10,
+    cache_parts: int | None = None,
+    together: int | None = None,
 ) -> None:
-    """Write the token table of ``docs`` (doc_id, text) to the folder ``path``."""
+    """Write the token table of ``docs`` (doc_id, text) to the folder ``path``.
+
+    ``cache_parts`` and ``together`` trade a worker's memory for time (see ``CACHE_PARTS`` and ``TOGETHER``).
+    """
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
         .repartitionByRange("doc_id", "th")
@@ -224,8 +229,8 @@ def write_tokens(
             )
 
         end = np.asarray([END_ID], "<u4").tobytes()
-        for doc_ids, texts in _together(batches):
-            for doc_id, data in zip(doc_ids, encode_texts(texts, tokenizer), strict=True):
+        for doc_ids, texts in _together(batches, together):
+            for doc_id, data in zip(doc_ids, encode_texts(texts, tokenizer, cache_parts), strict=True):
                 data += end
                 ids.append(doc_id)
                 starts.append(done)
@@ -280,9 +285,11 @@ def digests(tokens: DataFrame) -> DataFrame:
     return tokens.select("doc_id", "start", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_table(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def token_table(
+    docs: DataFrame, tokenizer: str | None = None, cache_parts: int | None = None, together: int | None = None
+) -> DataFrame:
     """Write ``docs`` as a token table into the shared folder and return it as read back, with ``start``."""
     spark = docs.sparkSession
     path = new_path(spark, "tokens")
-    write_tokens(docs, path, tokenizer)
+    write_tokens(docs, path, tokenizer, cache_parts=cache_parts, together=together)
     return read_tokens(spark, path)
