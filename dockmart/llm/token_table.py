@@ -42,9 +42,9 @@ from dockmart.llm.common import new_path, word_spans
 
 END_ID = 1
 #: Parts of words whose ids a worker remembers (about 200 bytes each).
-CACHE_PARTS = 500_000
+CACHE_PARTS = 400_000
 #: Bytes of text that are encoded together.
-TOGETHER = 9 << 20
+TOGETHER = 6 << 20
 #: Ids that one Arrow batch may hold before it is handed on.
 BATCH_IDS = 1 << 20
 
@@ -71,21 +71,29 @@ def _encoder(path: str | None):
     return _TOKENIZERS[key], _CACHE[key]
 
 
-#: Plain letters, then punctuation that ends the word.
-_PLAIN = re.compile(rb"([a-z]+)([!-/:-@\[-`{-~]*)")
-#: Anything that ends in a Latin letter, then such punctuation (not U+0130, which lower-cases to a letter and a mark).
-_LATIN = re.compile("(.*[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\\[-`{-~]+)", re.S)
+_PUNCTUATION = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8))
 
 
-def _cut(word: bytes) -> tuple[bytes, bytes]:
-    """A lower-case word's main part and the punctuation at its end (which may be empty)."""
-    if word.isalpha():  # for bytes: plain letters
-        return word, b""
-    found = _PLAIN.fullmatch(word)
-    if found:
-        return found.groups()
-    found = _LATIN.fullmatch(word.decode("utf-8"))
-    return (found[1].encode(), found[2].encode()) if found else (word, b"")
+def _part_bounds(raw: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Where the parts of words begin, and the end of the last one.
+
+    ``raw`` holds the bytes of lower-case words without the white space between them, ``words`` where each begins and the
+    end of the last. A word that ends in a Latin letter and then ASCII punctuation is cut between the two.
+    """
+    begins, ends = words[:-1], words[1:]
+    punctuation = _PUNCTUATION[raw]
+    letters = np.maximum.accumulate(np.where(punctuation, -1, np.arange(len(raw), dtype=np.int64)))
+    some = np.flatnonzero(punctuation[ends - 1])
+    begins, last = begins[some], letters[ends[some] - 1]  # the last byte before the punctuation at the end
+    held = last >= begins
+    begins, last = begins[held], last[held]
+    byte = raw[last]
+    cut = (byte >= ord("a")) & (byte <= ord("z"))
+    # two bytes make a letter from U+00DF to U+024F; not the division sign, nor U+0130, which lower-cases to a letter and a mark
+    code = ((raw[last - 1].astype(np.int64) & 0x1F) << 6) | (byte & 0x3F)
+    pair = (last > begins) & (byte & 0xC0 == 0x80) & (raw[last - 1] >= 0xC3) & (raw[last - 1] <= 0xC9)
+    cut |= pair & (code >= 0xDF) & (code <= 0x24F) & (code != 0xF7) & (code != 0x130)
+    return np.sort(np.concatenate((words, last[cut] + 1)))
 
 
 def _letters() -> dict[int, str]:
@@ -98,7 +106,7 @@ _LETTERS = _letters()
 _LATIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
 
-def _learn(parts: set[bytes], tokenizer, cache: dict[bytes, bytes]) -> None:
+def _learn(parts: list[bytes], tokenizer, cache: dict[bytes, bytes]) -> None:
     """Put the ids of ``parts`` into the cache."""
     others = []
     tokenize = tokenizer.model.tokenize
@@ -117,13 +125,13 @@ def _learn(parts: set[bytes], tokenizer, cache: dict[bytes, bytes]) -> None:
         cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
 
 
-def _with_special(text: bytes, special: list[bytes], tokenizer, path: str | None) -> bytes:
+def _with_special(text: bytes, special: list[bytes], tokenizer, path: str | None, cache_parts: int | None) -> bytes:
     out = []
     for holds, words in itertools.groupby(text.split(), lambda w: any(s in w.lower() for s in special)):
         if holds:
             out += [np.array(tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes() for w in words]
         else:
-            out += encode_texts([b" ".join(words)], path)
+            out += encode_texts([b" ".join(words)], path, cache_parts)
     return b"".join(out)
 
 
@@ -137,37 +145,42 @@ def encode_texts(texts: list[bytes], path: str | None = None, cache_parts: int |
     lowered = [t.lower() for t in texts]
     if any(s in t for s in special for t in lowered):
         holds = [any(s in t for s in special) for t in lowered]
-        rest = iter(encode_texts([t for t, h in zip(texts, holds, strict=True) if not h], path))
-        return [_with_special(t, special, tokenizer, path) if h else next(rest) for t, h in zip(texts, holds, strict=True)]
+        rest = iter(encode_texts([t for t, h in zip(texts, holds, strict=True) if not h], path, cache_parts))
+        return [
+            _with_special(t, special, tokenizer, path, cache_parts) if h else next(rest)
+            for t, h in zip(texts, holds, strict=True)
+        ]
     if len(texts) == 1 and len(texts[0]) > 4 * TOGETHER and (cut := texts[0].rfind(b" ", 0, 2 * TOGETHER)) > 0:
-        return [encode_texts([texts[0][:cut]], path)[0] + encode_texts([texts[0][cut:]], path)[0]]
+        pieces = (texts[0][:cut], texts[0][cut:])
+        return [b"".join(encode_texts([p], path, cache_parts)[0] for p in pieces)]
     if len(texts) > 1 and max(map(len, texts)) > 4 * TOGETHER:
-        return [encode_texts([t], path)[0] for t in texts]
+        return [encode_texts([t], path, cache_parts)[0] for t in texts]
     joined = b"\n".join(lowered)
-    starts, _ = word_spans(joined)
+    starts, ends = word_spans(joined)
     if not len(starts):
         return [b""] * len(texts)
-    # each word with the white space after it; equal ones get one number
-    offsets = pa.py_buffer(np.append(starts, len(joined)).astype(np.int64))
-    numbered = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, offsets, pa.py_buffer(joined)]).dictionary_encode()
-    cuts = [_cut(w.rstrip()) for w in numbered.dictionary.to_pylist()]
-    parts = {p for cut in cuts for p in cut if p}
-    new = parts - cache.keys()
+    # the words without the white space, cut into parts; equal parts get one number
+    packed = joined.translate(None, b" \t\n\v\f\r")
+    words = np.concatenate(([0], np.cumsum(ends - starts)))
+    bounds = _part_bounds(np.frombuffer(packed, np.uint8), words)
+    numbered = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(packed)]).dictionary_encode()
+    parts = numbered.dictionary.to_pylist()
+    new = [p for p in parts if p not in cache]
     if len(cache) + len(new) > (cache_parts or CACHE_PARTS):
         cache.clear()
         new = parts
     _learn(new, tokenizer, cache)
-    ids = [cache[a] + cache[b] if b else cache[a] for a, b in cuts]
+    ids = list(map(cache.__getitem__, parts))
     lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     begins = np.cumsum(lengths) - lengths
     numbers = numbered.indices.to_numpy()
     size = lengths[numbers]
-    ends = np.cumsum(size)
-    at = np.arange(ends[-1]) + np.repeat(begins[numbers] - (ends - size), size)
+    after = np.cumsum(size)
+    at = np.arange(after[-1]) + np.repeat(begins[numbers] - (after - size), size)
     flat = np.frombuffer(b"".join(ids), "<u4")[at]
     text_ends = np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)
-    words_before = np.searchsorted(starts, text_ends)
-    edges = np.concatenate(([0], ends))[np.concatenate(([0], words_before))].tolist()
+    parts_before = np.searchsorted(bounds, words[np.searchsorted(starts, text_ends)])
+    edges = np.concatenate(([0], after))[np.concatenate(([0], parts_before))].tolist()
     return [flat[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
 
 
