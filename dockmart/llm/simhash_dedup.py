@@ -13,7 +13,9 @@ is the last of them, so nothing but true links leaves the join. No bucket is cap
 
 Scale: fingerprints are computed once and written to the shared folder; links are searched between *distinct*
 fingerprints only, so a group of a billion equal copies is one fingerprint. The per-fingerprint minimum is
-combined before the shuffle. A bucket that many distinct fingerprints share is split by adaptive skew handling.
+combined before the shuffle. Rows get their component by a shuffle join, except those of fingerprints that hold more than a
+thousandth of all rows each: there are fewer than a thousand of these, so their components are broadcast and no task
+takes a whole group of copies. A bucket that many distinct fingerprints share is split by adaptive skew handling.
 Components come from alternating large-star and small-star rounds on links alone, each round written down.
 
 Edge cases: a null or empty text, or one of white space only, has no words and fingerprint zero, which links like
@@ -36,6 +38,8 @@ from dockmart.llm.common import staged
 
 SEED = 42
 _FINGERPRINT_CHUNK = 1 << 15  # shingle hashes unpacked to bits at a time
+#: A fingerprint is hot if it holds more than one row in so many; so fewer fingerprints than this are hot.
+HOT = 1000
 
 
 def _fingerprint(data: bytes, shingle: int) -> int:
@@ -177,22 +181,27 @@ def _edge_state(edges: DataFrame) -> tuple:
 def near_duplicate_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """One row per input row: doc_id, fp, component_id (the smallest doc_id reachable, itself included)."""
     table = staged(fingerprints(docs, shingle), "fingerprints")
-    owners = staged(table.groupBy("fp").agg(F.min("doc_id").alias("owner")), "owners")
+    owners = staged(table.groupBy("fp").agg(F.min("doc_id").alias("owner"), F.count("*").alias("rows")), "owners")
     if max_bits == 0:
-        roots = owners.select("fp", F.col("owner").alias("component_id"))
-        return _with_component(table, roots)
+        return _with_component(table, owners.select("fp", "rows", F.col("owner").alias("component_id")))
     tree = staged(components(links(owners, max_bits)), "components")
     # every linked fingerprint with its root; the root itself is a member too
     member = tree.unionByName(tree.select(F.col("root").alias("node"), "root")).distinct()
     owned = member.join(owners, member["node"] == owners["fp"]).select("node", "root", "owner")
     smallest = owned.groupBy("root").agg(F.min("owner").alias("component_id"))
     linked = owned.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
-    roots = owners.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "owner").alias("component_id"))
-    return _with_component(table, roots)
+    roots = owners.join(linked, "fp", "left").select("fp", "rows", F.coalesce("component_id", "owner").alias("component_id"))
+    return _with_component(table, staged(roots, "roots"))
 
 
 def _with_component(table: DataFrame, roots: DataFrame) -> DataFrame:
-    return table.join(roots, "fp").select("doc_id", "fp", "component_id")
+    """The rows of ``table`` with the component of their fingerprint; ``rows`` says how many rows a fingerprint holds."""
+    total = roots.agg(F.sum("rows")).first()[0] or 0
+    is_hot = F.col("rows") * HOT > total
+    hot = roots.filter(is_hot).select("fp", "component_id")  # fewer than HOT rows
+    rest = table.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(roots.filter(~is_hot), "fp")
+    columns = ["doc_id", "fp", "component_id"]
+    return table.join(F.broadcast(hot), "fp").select(columns).unionByName(rest.select(columns))
 
 
 def hex_fingerprint(fp: Column) -> Column:

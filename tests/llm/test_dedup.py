@@ -125,3 +125,14 @@ def test_paths_are_compacted_and_verified(spark):
 
 def test_words_split_at_six_characters_only():
     assert len(words_of("a b c\x0bd\x0ce\x1cf")) == 4 == len("a b c\x0bd\x0ce\x1cf".encode().split())
+
+
+@pytest.mark.parametrize("hot", [1, 4, 1000])
+def test_hot_fingerprints_change_nothing(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash_dedup, "HOT", hot)
+    texts = ["one two three four"] * 30 + [None, ""] * 8 + [f"a{i} b{i} c{i} d{i}" for i in range(20)]
+    rows = [(100 - i, t) for i, t in enumerate(texts)] + [(None, "one two three four"), (None, "only here and now")]
+    got = simhash_dedup.near_duplicate_groups(docs_frame(spark, rows)).collect()
+    want = components([fingerprint(t) for _, t in rows], [i for i, _ in rows], 3)
+    key = lambda p: (p[0] is None, p[0] or 0, p[1] is None, p[1] or 0)
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=key) == sorted(((i, c) for (i, _), c in zip(rows, want, strict=True)), key=key)
