@@ -8,7 +8,7 @@ except by the very last undecided document, which is rounded to the nearer side:
 document's size of its target.
 
 **Distributed reduction tree.** Each source is dealt into blocks of about ``block_rows`` documents by a hash of the
-doc_id; a block is reduced in one task to decided documents and at most one undecided one. The undecided documents of
+doc_id and of the row's number among its equals (so rows without an id, or of one id, are spread too); a block is reduced in one task to decided documents and at most one undecided one. The undecided documents of
 ``block_rows`` blocks meet at the next level, until each source has one. A source with a third of all rows has a
 third of all blocks; no task sees more than a block. Only (doc_id, source, size) travels, never text.
 
@@ -39,6 +39,8 @@ SHARE = 1.5
 #: No document, and so no source, is taken more often than this.
 MOST = 2.0
 EPS = 1e-9
+#: Numbers of equal rows that are made at a time.
+NUMBERS = 1 << 12
 
 
 def word_count(text: Column) -> Column:
@@ -119,14 +121,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         (F.col("rate") - F.floor("rate")).alias("fraction"),
         F.ceil(F.col("n_docs") / block_rows).cast("long").alias("blocks"),
     )
+    # equal (doc_id, source, size) rows are alike: they are counted, and told apart by numbers
+    numbered = (
+        table.groupBy("doc_id", "source", "size")
+        .agg(F.count("*").alias("n"))
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / NUMBERS))))
+        .withColumn("nr", F.explode(F.sequence(F.col("k") * NUMBERS + 1, F.least("n", (F.col("k") + 1) * NUMBERS))))
+    )
     rows = (
-        table.join(rates, F.col("source").eqNullSafe(F.col("s")))
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("blocks")))
-        .select("doc_id", "source", "size", "whole", "fraction", "block")
+        numbered.join(rates, F.col("source").eqNullSafe(F.col("s")))
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "nr"), F.col("blocks")))
+        .select("doc_id", "source", "size", "whole", "fraction", "block", "nr")
     )
-    # equal (doc_id, source, size) rows are alike: they are told apart by a number within their group
-    same = Window.partitionBy("source", "doc_id", "size").orderBy(F.lit(0))
-    rows = rows.withColumn("nr", F.row_number().over(same).cast("long"))
     settled = rows.filter((F.col("size") == 0) | (F.col("fraction") <= EPS) | (F.col("fraction") >= 1 - EPS)).select(
         "doc_id", "source", "size", F.when(F.col("size") > 0, F.round("fraction")).otherwise(0).cast("long").alias("extra")
     )
@@ -185,25 +191,38 @@ def _reducer(level: int, seed: int, last: bool):
 def repeat_by_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block_rows: int = 1024, seed: int = 42) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, all columns kept.
 
-    Copies are found by (doc_id, source, size); rows that agree in all three share their copies in the order they are met,
-    the extra ones first. Documents of size 0 hold no words and are left out.
+    Copies are found by (doc_id, source, size). Rows that agree in all three (without an id, or of a repeated one) share
+    their copies in the order of a hash of their texts, the extra ones first; they are numbered by narrow rows, one for
+    each text, and only rows that agree in the text too are numbered one by one. Documents of size 0 hold no words and are
+    left out.
     """
     mixed = mix(docs, weights, share, block_rows, seed)
-    counted = mixed.filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.sum("copies").alias("copies"))
-    plan = staged(counted, "copies").select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies")
+    counted = mixed.filter("size > 0").groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.sum("copies").alias("copies"))
+    plan = staged(counted.filter("copies > 0"), "copies").select(
+        *[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "rows", "copies")]
     )
     names = docs.columns
+    key = ["_mix_doc_id", "_mix_source", "_mix_size"]
     sized = docs.withColumn("_mix_words", word_count(F.col("text")))
     same = (
-        sized["doc_id"].cast("long").eqNullSafe(F.col("_mix_id"))
-        & sized["source"].cast("string").eqNullSafe(F.col("_mix_source"))
+        F.col("doc_id").cast("long").eqNullSafe(F.col("_mix_doc_id"))
+        & F.col("source").cast("string").eqNullSafe(F.col("_mix_source"))
         & (F.col("_mix_words") == F.col("_mix_size"))
     )
-    joined = sized.join(plan, same)
-    place = Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64("text"))
-    every = Window.partitionBy("_mix_id", "_mix_source", "_mix_size")
-    rows = joined.withColumn("_mix_nr", F.row_number().over(place)).withColumn("_mix_rows", F.count("*").over(every))
-    times = F.floor((F.col("_mix_copies") + F.col("_mix_rows") - F.col("_mix_nr")) / F.col("_mix_rows")).cast("int")
-    repeated = rows.withColumn("_mix_times", times).filter("_mix_times > 0")
-    return repeated.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*names)
+    rows = sized.join(plan.filter("_mix_rows = 1"), same).withColumn("_mix_times", F.col("_mix_copies").cast("int"))
+    shared = plan.filter("_mix_rows > 1")
+    if not shared.isEmpty():
+        alike = sized.join(shared, same).withColumn("_mix_text", F.xxhash64("text"))
+        per_text = alike.groupBy(*key, "_mix_text").agg(F.count("*").alias("_mix_n"))
+        before = Window.partitionBy(*key).orderBy("_mix_text").rowsBetween(Window.unboundedPreceding, -1)
+        per_text = per_text.withColumn("_mix_before", F.coalesce(F.sum("_mix_n").over(before), F.lit(0))).drop("_mix_n")
+        places = per_text.select(*[F.col(c).alias(f"{c}_p") for c in [*key, "_mix_text"]], "_mix_before")
+        matched = F.col("_mix_text") == F.col("_mix_text_p")
+        for c in key:
+            matched = matched & F.col(c).eqNullSafe(F.col(f"{c}_p"))
+        within = Window.partitionBy(*key, "_mix_text").orderBy(F.lit(0))
+        nr = F.col("_mix_before") + F.row_number().over(within)
+        times = F.floor((F.col("_mix_copies") + F.col("_mix_rows") - nr) / F.col("_mix_rows")).cast("int")
+        alike = alike.join(places, matched).withColumn("_mix_times", times).filter("_mix_times > 0")
+        rows = rows.select(*names, "_mix_times").unionByName(alike.select(*names, "_mix_times"))
+    return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*names)

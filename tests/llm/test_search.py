@@ -222,3 +222,21 @@ def test_repeat_by_mix(spark):
     assert len(rows_out) == sum(r.copies for r in mixed)
     assert sum(len((r.text or "").split()) for r in rows_out) == sum(r.taken for r in mixed)
     assert mixing.repeat_by_mix(docs_frame(spark, [])).count() == 0 and mixing.mix(docs_frame(spark, [])).count() == 0
+
+
+def test_rows_without_an_id_are_spread_and_repeated(spark):
+    texts = [f"{'a ' * (1 + i % 5)}w{i % 90}" for i in range(600)] + ["same text here"] * 300
+    docs = docs_frame(spark, [(None, t, "hot") for t in texts] + [(7, "x y z", "hot")] * 40 + [(i, "p q r s", "small") for i in range(50)])
+    rows = mixing.mix(docs, block_rows=32).collect()
+    assert len(rows) == docs.count()
+    for source in ("hot", "small"):
+        part = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in part) - part[0].target) <= max(r.size for r in part) / 2
+    copies = Counter()
+    for r in rows:
+        copies[r.doc_id, r.source, r.size] += r.copies
+    again = mixing.repeat_by_mix(docs, block_rows=32).collect()
+    assert Counter((r.doc_id, r.source, len(r.text.split())) for r in again) == +copies
+    of_one = Counter(r.text for r in again if r.source == "hot")
+    there = Counter(texts + ["x y z"] * 40)
+    assert all(n <= 2 * there[t] for t, n in of_one.items())
