@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from dockmart import config as C
 from dockmart.config import TextRules
 from dockmart.functions import dates
-from dockmart.functions.text import ColumnOrName, col, concat_text, text_contains, text_eq, text_in, text_startswith
+from dockmart.functions.text import col, ColumnOrName, concat_text, text_contains, text_eq, text_in, text_not_in, text_startswith
 
 _ZERO_HOURS = Decimal("0.00")
 
@@ -23,30 +23,30 @@ _ZERO_HOURS = Decimal("0.00")
 # --- value maps -------------------------------------------------------------
 
 
-def value_map(c: ColumnOrName, mapping: dict, default: object = None) -> Column:
-    """``CASE x WHEN k THEN v ... [ELSE default] END``."""
-    x = col(c)
+def value_map(c: ColumnOrName, mapping: dict[str, object], default: object = None, rules: TextRules = TextRules()) -> Column:
+    """``CASE x WHEN k THEN v ... [ELSE default] END`` over text."""
     out = None
     for key, value in mapping.items():
-        out = F.when(x == F.lit(key), F.lit(value)) if out is None else out.when(x == F.lit(key), F.lit(value))
+        hit = text_eq(c, key, rules)
+        out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
     if default is not None:
         out = out.otherwise(F.lit(default))
     return out
 
 
-def activity_by_destination(dest_name: ColumnOrName) -> Column:
+def activity_by_destination(dest_name: ColumnOrName, rules: TextRules = TextRules()) -> Column:
     """3G business unit from the destination name (else OTHER)."""
-    return value_map(dest_name, C.ACTIVITY_BY_DEST_NAME, C.ACTIVITY_OTHER)
+    return value_map(dest_name, C.ACTIVITY_BY_DEST_NAME, C.ACTIVITY_OTHER, rules)
 
 
-def activity_by_route(route: ColumnOrName) -> Column:
+def activity_by_route(route: ColumnOrName, rules: TextRules = TextRules()) -> Column:
     """ALMS business unit from the route's first letters (else NULL)."""
-    return value_map(F.left(col(route), F.lit(C.ROUTE_PREFIX_LENGTH)), C.ACTIVITY_BY_ROUTE_PREFIX)
+    return value_map(F.left(col(route), F.lit(C.ROUTE_PREFIX_LENGTH)), C.ACTIVITY_BY_ROUTE_PREFIX, rules=rules)
 
 
-def active_status(load_status: ColumnOrName) -> Column:
+def active_status(load_status: ColumnOrName, rules: TextRules = TextRules()) -> Column:
     """3G load status -> Completed / Inactive / Active."""
-    return value_map(load_status, C.ACTIVE_STATUS_BY_LOAD_STATUS, C.ACTIVE_STATUS_DEFAULT)
+    return value_map(load_status, C.ACTIVE_STATUS_BY_LOAD_STATUS, C.ACTIVE_STATUS_DEFAULT, rules)
 
 
 def customer_group(cus: ColumnOrName, rules: TextRules = TextRules()) -> Column:
@@ -79,9 +79,9 @@ def plant_flag_by_code(code: ColumnOrName, rules: TextRules = TextRules()) -> Co
     return F.when(text_in(code, C.HUT_LOCATION_CODES, rules), F.lit(C.YES)).otherwise(F.lit(C.NO))
 
 
-def stop_type_flag(stop_type: ColumnOrName, value: str) -> Column:
+def stop_type_flag(stop_type: ColumnOrName, value: str, rules: TextRules = TextRules()) -> Column:
     """3G ``CASE type WHEN value THEN 1 ELSE 0 END``."""
-    return F.when(col(stop_type) == F.lit(value), F.lit(1)).otherwise(F.lit(0))
+    return F.when(text_eq(stop_type, value, rules), F.lit(1)).otherwise(F.lit(0))
 
 
 def freight_direction_by_type(stop_type: ColumnOrName, loc_name: ColumnOrName, rules: TextRules = TextRules()) -> Column:
@@ -90,12 +90,11 @@ def freight_direction_by_type(stop_type: ColumnOrName, loc_name: ColumnOrName, r
     Other types -> ''; pickup at the customer -> Dunnage, else Freight;
     delivery at the customer -> Freight, else Dunnage; NULL type -> NULL.
     """
-    t = col(stop_type)
     at_plant = is_customer_location_name(loc_name, rules)
-    pickup = t == F.lit(C.STOP_TYPE_PICKUP)
-    delivery = t == F.lit(C.STOP_TYPE_DELIVERY)
+    pickup = text_eq(stop_type, C.STOP_TYPE_PICKUP, rules)
+    delivery = text_eq(stop_type, C.STOP_TYPE_DELIVERY, rules)
     return (
-        F.when(~t.isin(C.STOP_TYPE_PICKUP, C.STOP_TYPE_DELIVERY), F.lit(C.DIR_NONE))
+        F.when(text_not_in(stop_type, (C.STOP_TYPE_PICKUP, C.STOP_TYPE_DELIVERY), rules), F.lit(C.DIR_NONE))
         .when(pickup & at_plant, F.lit(C.DIR_DUNNAGE))
         .when(pickup, F.lit(C.DIR_FREIGHT))
         .when(delivery & at_plant, F.lit(C.DIR_FREIGHT))
@@ -139,7 +138,12 @@ def _rule_hits(arrival: Column, weekdays: tuple[int, ...], start: str, end: str)
     return dates.weekday_number(arrival).isin(list(weekdays)) & dates.time_between(arrival, start, end)
 
 
-def crew(arrival: ColumnOrName, route: ColumnOrName | None = None, suppressed_prefix: str | None = None) -> Column:
+def crew(
+    arrival: ColumnOrName,
+    route: ColumnOrName | None = None,
+    suppressed_prefix: str | None = None,
+    rules: TextRules = TextRules(),
+) -> Column:
     """Crew A/B/C receiving a stop planned to arrive at ``arrival``.
 
     Rules come from :data:`dockmart.config.CREW_RULES`; times and days not
@@ -149,7 +153,7 @@ def crew(arrival: ColumnOrName, route: ColumnOrName | None = None, suppressed_pr
     a = col(arrival)
     out = None
     if suppressed_prefix is not None and route is not None:
-        out = F.when(col(route).startswith(suppressed_prefix), F.lit(None).cast("string"))
+        out = F.when(text_startswith(route, suppressed_prefix, rules), F.lit(None).cast("string"))
     for name, weekdays, start, end, _offset, _hour in C.CREW_RULES:
         hit = _rule_hits(a, weekdays, start, end)
         out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))

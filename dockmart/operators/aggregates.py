@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmart.config import LIST_SEPARATOR
+from dockmart.config import LIST_SEPARATOR, TextRules
+from dockmart.functions.text import normalized
 
 
 def count_when(cond: Column) -> Column:
@@ -42,7 +43,7 @@ def keys_without(
 
 
 def with_group_totals(
-    df: DataFrame, by: Sequence[str], source: DataFrame | None = None, **aggs: Column
+    df: DataFrame, by: Sequence[str], source: DataFrame | None = None, rules: TextRules = TextRules(), **aggs: Column
 ) -> DataFrame:
     """Add per-group aggregates to every row: ``agg(...) OVER (PARTITION BY by)``.
 
@@ -52,14 +53,20 @@ def with_group_totals(
     split a hot key (AQE skew join) or broadcast the per-group table when it
     is small, so one large group never has to sit in one task. ``source``
     (default ``df``) is the frame the totals are computed over; several totals
-    over one base frame can then share its scan and shuffle.
+    over one base frame can then share its scan and shuffle. Text keys that
+    are equal under ``rules`` are one group.
     """
     by = list(by)
-    totals = (source if source is not None else df).groupBy(*by).agg(*[expr.alias(name) for name, expr in aggs.items()])
-    renamed = totals.select(*[F.col(k).alias(f"__g_{k}") for k in by], *aggs.keys())
+
+    def key(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return normalized(c, rules) if df.schema[name].dataType.typeName() == "string" else c
+
+    keys = [key(k).alias(f"__g_{k}") for k in by]
+    renamed = (source if source is not None else df).groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggs.items()])
     cond = None
     for k in by:
-        term = df[k].eqNullSafe(renamed[f"__g_{k}"])
+        term = key(k).eqNullSafe(F.col(f"`__g_{k}`"))
         cond = term if cond is None else cond & term
     return df.join(renamed, cond, "left").drop(*[f"__g_{k}" for k in by])
 

@@ -57,14 +57,21 @@ def role_join(
     return left_dim(fact, p, fact_key, partner_key, columns)
 
 
+def _key(df: DataFrame, name: str, rules: TextRules) -> Column:
+    return join_key(df[name], rules) if df.schema[name].dataType.typeName() == "string" else df[name]
+
+
 def left_join_on(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[tuple[str, str]],
     left_condition: Column | None = None,
+    rules: TextRules = TextRules(),
 ) -> DataFrame:
     """Left outer join on several key pairs plus an optional left-side test in ON.
 
+    Pairs of text keys are compared under ``rules``.
+
     A left row failing ``left_condition`` is kept with NULL right columns,
     as SQL does for a predicate in the ON clause of a LEFT JOIN. Right key
     columns are dropped from the result.
@@ -75,7 +82,7 @@ def left_join_on(
         tmp = f"__r_{rk}"
         renamed = renamed.withColumnRenamed(rk, tmp)
     for lk, rk in keys:
-        term = left[lk] == renamed[f"__r_{rk}"]
+        term = _key(left, lk, rules) == _key(renamed, f"__r_{rk}", rules)
         cond = term if cond is None else cond & term
     if left_condition is not None:
         cond = cond & left_condition

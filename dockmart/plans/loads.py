@@ -55,7 +55,7 @@ def loads_3g_report(tables: Tables3G, cfg: MartConfig = DEFAULT_CONFIG) -> DataF
     cols = {
         "Loadleg Tag": F.col("LoadNum"),
         "Load Tag": F.col("LoadNum"),
-        "Activity": R.activity_by_destination("__dest_name"),
+        "Activity": R.activity_by_destination("__dest_name", rules),
         "Load Status": F.col("DataValue_LoadTmsStatus"),
         "Route Pattern": _null("string"),
         "Load ID": F.col("LoadId"),
@@ -99,6 +99,7 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
         legs,
         [("Load_Tag", "ll_Load_Tag"), ("Load_ID", "ll_Load_ID")],
         left_condition=text_ne(ld["Status"], C.EXCLUDED_ALMS_LOAD_STATUS, rules),
+        rules=rules,
     )
     cus, life = F.col("ll_cus"), F.col("ll_Life_Cycle_Seq")
     j = j.where(text_in(cus, C.LEG_CUSTOMER_CODES, rules) | cus.isNull())
@@ -136,7 +137,7 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
     route, version = F.col("Route"), F.col("Version")
     return rows.withColumns(
         {
-            "Activity": R.activity_by_route(route),
+            "Activity": R.activity_by_route(route, rules),
             "Route-Version": concat_text(route, C.KEY_DASH, version),
             "Route-Version-Leg": concat_text(route, C.KEY_DASH, version, C.KEY_DASH, F.col("Leg")),
             "Load End Date": D.date_of("Load End Time"),
@@ -148,9 +149,9 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
 def loads_alms_report(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The ALMS loads report (31 columns) with load counts per route and carrier."""
     base = alms_load_rows(tables, cfg)
-    rows = with_group_totals(base, ["Route"], **{"Load Count Per Route": F.count("Load ID").cast("int")})
+    rows = with_group_totals(base, ["Route"], rules=cfg.text, **{"Load Count Per Route": F.count("Load ID").cast("int")})
     rows = with_group_totals(
-        rows, ["Carrier Code"], source=base, **{"Load Count Per Carrier": F.count("Load ID").cast("int")}
+        rows, ["Carrier Code"], source=base, rules=cfg.text, **{"Load Count Per Carrier": F.count("Load ID").cast("int")}
     )
     rows = rows.withColumn("TMS", F.lit(C.TMS_ALMS))
     return rows.select(*[F.col(f"`{c}`") for c in LOADS_COLUMNS])

@@ -134,7 +134,7 @@ def alms_stop_rows(stops: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFr
         "Estimated Departure Time": D.time_text(est),
         "Late By (Hrs)": R.late_hours_raw(dep, est, cfg.late_hours_overflow_null),
         "Planned Day of Week": D.weekday_name(arr),
-        "Crew": R.crew(arr, "Route", cfg.crew_suppressed_route_prefix),
+        "Crew": R.crew(arr, "Route", cfg.crew_suppressed_route_prefix, rules),
         "Shift Start Time": R.shift_start(arr),
         "Actual Arrival Date": D.date_of("Actual Arrival"),
         "Actual Arrival Time": D.time_text("Actual Arrival"),
@@ -196,13 +196,13 @@ def g3_stop_rows(tables: Tables3G, cfg: MartConfig = DEFAULT_CONFIG) -> DataFram
         "Load ID": F.col("s_LoadId"),
         "Loadleg Tag": F.col("LoadNum"),
         "Loadleg Tag Stop": concat_text(F.col("LoadNum"), C.KEY_SPACED_DASH, F.col("s_StopNum")),
-        "Active Status": R.active_status("DataValue_LoadTmsStatus"),
+        "Active Status": R.active_status("DataValue_LoadTmsStatus", rules),
         "Stop Location": F.col("s_LocId"),
         "Is HUT Location": R.plant_flag_by_name(name, rules),
         "Stop Name": name,
         "Stop Sequence": F.col("s_StopNum"),
-        "Is Pick": R.stop_type_flag(stype, C.STOP_TYPE_PICKUP),
-        "Is Drop": R.stop_type_flag(stype, C.STOP_TYPE_DELIVERY),
+        "Is Pick": R.stop_type_flag(stype, C.STOP_TYPE_PICKUP, rules),
+        "Is Drop": R.stop_type_flag(stype, C.STOP_TYPE_DELIVERY, rules),
         "Dunnage/Freight": R.freight_direction_by_type(stype, name, rules),
         "Planned Departure": F.col("__dep"),
         "Planned Departure Date": D.date_of("__dep"),

@@ -292,3 +292,28 @@ def test_value_maps(spark):
     ).collect()
     assert (out[0].a, out[0].b, out[0].c) == ("AVS", "FMS", "Inactive")
     assert (out[1].a, out[1].b, out[1].c) == ("OTHER", None, "Active")
+
+
+def test_text_rules_reach_every_comparison(spark):
+    from dockmart import config as C
+    from dockmart.operators.aggregates import with_group_totals
+    from dockmart.operators.joins import left_join_on
+
+    rules = TextRules.sql_server()
+    name, unit = next(iter(C.ACTIVITY_BY_DEST_NAME.items()))
+    status, state = next(iter(C.ACTIVE_STATUS_BY_LOAD_STATUS.items()))
+    df = spark.createDataFrame([("PICKUP ", name.lower() + " ", status.upper() + " ", "ab1")], "t string, n string, s string, k string")
+    row = df.select(
+        R.stop_type_flag("t", C.STOP_TYPE_PICKUP, rules).alias("flag"),
+        R.freight_direction_by_type("t", "n", rules).alias("direction"),
+        R.activity_by_destination("n", rules).alias("unit"),
+        R.active_status("s", rules).alias("state"),
+        R.stop_type_flag("t", C.STOP_TYPE_PICKUP).alias("exact"),
+    ).first()
+    assert (row.flag, row.unit, row.state, row.exact) == (1, unit, state, 0)
+    assert row.direction in (C.DIR_DUNNAGE, C.DIR_FREIGHT)
+    other = spark.createDataFrame([("AB1 ", 5)], "rk string, v int")
+    assert left_join_on(df, other, [("k", "rk")], rules=rules).first().v == 5
+    assert left_join_on(df, other, [("k", "rk")]).first().v is None
+    keys = spark.createDataFrame([("a", 1), ("A ", 2), (None, 3)], "k string, id int")
+    assert {r.id: r.n for r in with_group_totals(keys, ["k"], rules=rules, n=F.count("id")).collect()} == {1: 2, 2: 2, 3: 1}
