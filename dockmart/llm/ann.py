@@ -10,14 +10,15 @@ reranked with the exact distance on the original vectors in double precision. Th
 the search is approximate; what it returns is exactly scored.
 
 Scale: the index is a table (one row a vector: code, scalars, original vector). Vectors are dealt by a hash of their id
-into blocks of about ``BLOCK`` rows, queries into blocks of ``QUERIES``; a task holds one block of each, so memory is
+into blocks of about ``BLOCK`` rows, queries into blocks of about ``QUERIES``; a task holds one block of each, so memory is
 bounded whatever is common or frequent in the data. A task returns at most k rows a query; the last step keeps k a query
 with a rank that is limited before its shuffle. The work is queries times rows / one bit codes: the query set is what the
 caller states.
 
 Edge cases: vectors that are null, zero, empty or hold a null or a non-finite number take no part, as row or query.
 Vectors are compared with those of their own dimension only. Rows that repeat an id are separate candidates; a query's
-own id is never returned. Ties go to the smaller id. Fewer candidates than k: all of them. Extra columns are ignored. An
+own id is never returned. A query row that stands several times asks once. An id asked with several vectors has one list:
+a row's distance is that to the nearest of them, and each row stands in the list once. Ties go to the smaller id. Fewer candidates than k: all of them. Extra columns are ignored. An
 empty table gives an empty result.
 """
 
@@ -39,6 +40,7 @@ EPSILON = 3.0
 SEED = 20
 
 _INDEX = "vec_id long, dim int, code binary, norm double, fit double, vec array<double>"
+_FOUND = "query_id long, row long, vec_id long, score double"
 
 
 def usable(vec: Column) -> Column:
@@ -84,7 +86,7 @@ def centres(rows: DataFrame) -> dict[int, np.ndarray]:
 
 
 def build_index(rows: DataFrame) -> tuple[DataFrame, dict[int, np.ndarray]]:
-    """The index of all rows of ``vectors()``, as a table in the shared folder, and the centres it was built on."""
+    """The index of all rows of ``vectors()``, numbered, as a table in the shared folder, and the centres it was built on."""
     middle = centres(rows)
 
     def encode(batches):
@@ -103,7 +105,8 @@ def build_index(rows: DataFrame) -> tuple[DataFrame, dict[int, np.ndarray]]:
                 code=b"", norm=0.0, fit=0.0
             )[["vec_id", "dim", "code", "norm", "fit", "vec"]]
 
-    return staged(rows.mapInPandas(encode, _INDEX), "codes"), middle
+    numbered = rows.mapInPandas(encode, _INDEX).withColumn("row", F.monotonically_increasing_id())
+    return staged(numbered, "codes"), middle
 
 
 def _unpack(codes: pd.Series, dim: int) -> np.ndarray:
@@ -114,13 +117,13 @@ def _unpack(codes: pd.Series, dim: int) -> np.ndarray:
 def _search_block(data: pd.DataFrame, queries: pd.DataFrame, middle: dict[int, np.ndarray], k: int) -> pd.DataFrame:
     """The k nearest rows of one block for each query of one block."""
     dim = int(data["dim"].iloc[0])
-    ids = data["vec_id"].to_numpy()
+    ids, numbers = data["vec_id"].to_numpy(), data["row"].to_numpy()
     exact = np.stack(data["vec"].to_numpy())
     signs = _unpack(data["code"], dim)
     norm, fit = data["norm"].to_numpy(), np.maximum(data["fit"].to_numpy(), 1e-12)
     spread = EPSILON * np.sqrt(np.maximum(0.0, 1 / fit**2 - 1) / max(1, dim - 1))
     spread = np.where(norm > 0, spread, 0.0)
-    out_q, out_v, out_d = [], [], []
+    out_q, out_r, out_v, out_d = [], [], [], []
     turn = rotation(dim)
     for a in range(0, len(queries), 64):
         part = queries.iloc[a : a + 64]
@@ -138,40 +141,49 @@ def _search_block(data: pd.DataFrame, queries: pd.DataFrame, middle: dict[int, n
             else:
                 keep = np.flatnonzero(other)
             d = np.sqrt(((exact[keep] - q[j]) ** 2).sum(1))
-            best = np.lexsort((ids[keep], d))[:k]
+            best = np.lexsort((numbers[keep], ids[keep], d))[:k]
             out_q += [query_id] * len(best)
+            out_r += numbers[keep][best].tolist()
             out_v += ids[keep][best].tolist()
             out_d += d[best].tolist()
-    return pd.DataFrame({"query_id": np.asarray(out_q, "int64"), "vec_id": np.asarray(out_v, "int64"), "score": np.asarray(out_d, float)})
+    return _found(out_q, out_r, out_v, out_d)
+
+
+def _found(query_id: list, row: list, vec_id: list, score: list) -> pd.DataFrame:
+    ids = {"query_id": query_id, "row": row, "vec_id": vec_id}
+    return pd.DataFrame({name: np.asarray(x, "int64") for name, x in ids.items()} | {"score": np.asarray(score, float)})
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of ``rows`` for each of ``queries`` (both as ``vectors()``).
 
-    Query ids are distinct; score is the Euclidean distance.
+    One list for each query id, also where its row repeats or it has several vectors; score is the Euclidean distance.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     index, middle = build_index(rows)
-    asked = staged(queries, "queries")
+    asked = staged(queries.select("vec_id", "dim", "vec").distinct(), "queries")
     counts = {r["dim"]: r["n"] for r in index.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     asking = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    out = rows.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    out = rows.sparkSession.createDataFrame([], _FOUND)
     for dim in sorted(set(counts) & set(asking)):
         blocks, groups = -(-counts[dim] // BLOCK), -(-asking[dim] // QUERIES)
         # every block of rows meets every block of queries: a grid of (block, group) tasks, each of bounded size
         # (rows that share an id are dealt apart by the hash of their numbers)
         data = index.filter(F.col("dim") == dim).withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "vec_id", "vec"), F.lit(blocks)))
         data = data.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-        ask = asked.filter(F.col("dim") == dim).withColumn("grp", F.pmod(F.xxhash64(F.lit(SEED + 1), "vec_id"), F.lit(groups)).cast("int"))
+        ask = asked.filter(F.col("dim") == dim).withColumn("grp", F.pmod(F.xxhash64(F.lit(SEED + 1), "vec_id", "vec"), F.lit(groups)).cast("int"))
         ask = ask.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
         def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
-                return pd.DataFrame({"query_id": np.zeros(0, "int64"), "vec_id": np.zeros(0, "int64"), "score": np.zeros(0)})
+                return _found([], [], [], [])
             return _search_block(left, right, middle, k)
 
         found = data.groupBy("block", "grp").cogroup(ask.groupBy("block", "grp"))
-        out = out.unionByName(found.applyInPandas(search, "query_id long, vec_id long, score double"))
+        out = out.unionByName(found.applyInPandas(search, _FOUND))
+    if not asked.groupBy("vec_id").count().filter("count > 1").isEmpty():
+        # the k nearest of an id are among the k nearest of its vectors
+        out = out.groupBy("query_id", "row", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

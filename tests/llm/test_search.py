@@ -69,6 +69,25 @@ def test_awkward_vectors(spark):
     assert ann.nearest(usable.limit(0), usable.limit(0), 3).count() == 0
 
 
+@pytest.mark.parametrize("queries", [1024, 2])
+def test_repeated_query_rows_and_ids(spark, monkeypatch, queries):
+    """A query row three times, one id with two vectors, and a candidate row twice."""
+    monkeypatch.setattr(ann, "QUERIES", queries)
+    rng = np.random.default_rng(5)
+    points = [(i, [float(x) for x in rng.standard_normal(3)], 0) for i in range(1, 40)]
+    asking = [(100, [0.0, 0.1, 0.2], 0)] * 3 + [(200, [1.0, 1.0, 1.0], 0), (200, [-1.0, -1.0, -1.0], 0), (300, [1.0, 2.0], 0)]
+    table = points + [points[0]] + asking
+    rows = ann.vectors(spark.createDataFrame(table, VECTORS))
+    got = sorted(map(tuple, ann.nearest(rows, rows.filter("vec_id in (100, 200)"), 10).collect()))
+    want = []
+    for q in (100, 200):
+        mine = {tuple(v) for i, v, _ in asking if i == q}
+        others = [(min(float(np.linalg.norm(np.array(v) - m)) for m in mine), i) for i, v, _ in table if i != q and len(v) == 3]
+        want += [(q, n + 1, i, d) for n, (d, i) in enumerate(sorted(others)[:10])]
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+
+
 # Decontamination
 
 
