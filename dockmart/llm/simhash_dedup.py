@@ -64,8 +64,8 @@ def _fingerprint(data: bytes, shingle: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit integer.
+def fingerprints(docs: DataFrame, shingle: int = 3, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit integer. ``hashed`` adds th, the text's hash.
 
     Only A-Z are lower-cased: ``bytes.lower`` on UTF-8 leaves all other characters alone.
     """
@@ -75,10 +75,13 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [_fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "th"][: len(columns)])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")]
+    if hashed:
+        columns.append(F.xxhash64("text").alias("th"))
+    return docs.select(columns).mapInArrow(run, "doc_id long, fp long" + ", th long" * hashed)
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -184,9 +187,7 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3)
     owners = staged(table.groupBy("fp").agg(F.min("doc_id").alias("owner"), F.count("*").alias("rows")), "owners")
     if max_bits == 0:
         return _with_component(table, owners.select("fp", "rows", F.col("owner").alias("component_id")))
-    tree = staged(components(links(owners, max_bits)), "components")
-    # every linked fingerprint with its root; the root itself is a member too
-    member = tree.unionByName(tree.select(F.col("root").alias("node"), "root")).distinct()
+    member = _members(owners, max_bits)
     owned = member.join(owners, member["node"] == owners["fp"]).select("node", "root", "owner")
     smallest = owned.groupBy("root").agg(F.min("owner").alias("component_id"))
     linked = owned.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
@@ -194,6 +195,12 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3)
     return _with_component(table, staged(roots, "roots"))
 
 
+def _members(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(node, root): every linked fingerprint of column ``fp`` with its root; the root itself is a member too."""
+    tree = staged(components(links(fps, max_bits)), "components")
+    return tree.unionByName(tree.select(F.col("root").alias("node"), "root")).distinct()
+
+
 def _with_component(table: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of ``table`` with the component of their fingerprint; ``rows`` says how many rows a fingerprint holds."""
     total = roots.agg(F.sum("rows")).first()[0] or 0
@@ -209,19 +216,33 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their group, all columns kept: one row of each group stays.
+    """One row of each group of linked fingerprints, all columns kept: the one with the smallest doc_id.
 
-    A decision is carried by the doc_id, so rows with a null doc_id are all kept. Where a doc_id repeats, one of
-    its rows stays: the one with the smallest hash of its text.
+    Groups are told apart by their root fingerprint and rows by (doc_id, hash of the text), so rows of one doc_id with
+    unlike texts stay in groups of their own. Where the smallest doc_id repeats in its group, the row with the smallest
+    hash of its text stays. Rows with a null doc_id name no group and are all kept.
     """
-    groups = staged(near_duplicate_groups(docs, shingle, max_bits), "groups")
-    named = groups.filter(F.col("component_id").isNotNull()).groupBy("component_id").count()
-    ids = named.select(F.col("component_id").alias("kept_id"))
-    kept = docs.join(ids, docs["doc_id"].cast("long") == ids["kept_id"], "left_semi")
-    repeated = groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
-    if not repeated.isEmpty():
-        rank = F.xxhash64("text")
-        best = kept.groupBy(F.col("doc_id").alias("best_id")).agg(F.min(rank).alias("best_rank"))
-        kept = kept.join(best, (kept["doc_id"] == best["best_id"]) & (rank == best["best_rank"]), "left_semi")
-        kept = kept.dropDuplicates(["doc_id"])
+    table = fingerprints(docs, shingle, hashed=True)
+    copies = staged(table.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("rows")), "copies")
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th", "rows"))
+    best = staged(copies.groupBy("fp").agg(F.min(row).alias("best"), F.sum("rows").alias("rows")), "best")
+    rooted = best.select("fp", "best", F.col("fp").alias("root"))
+    if max_bits > 0:
+        member = _members(best, max_bits)
+        rooted = best.join(member, best["fp"] == member["node"], "left").select("best", F.coalesce("root", "fp").alias("root"))
+    chosen = rooted.filter(F.col("best").isNotNull()).groupBy("root").agg(F.min("best").alias("best"))
+    chosen = staged(chosen.select(F.col("best.doc_id").alias("kept_id"), F.col("best.th").alias("kept_hash"), "best.rows"), "chosen")
+
+    def same(rows: DataFrame) -> Column:
+        return (docs["doc_id"].cast("long") == rows["kept_id"]) & (F.xxhash64(docs["text"]) == rows["kept_hash"])
+
+    # equal rows that are more than a thousandth of all: fewer than HOT, broadcast, so no task takes them all
+    total = best.agg(F.sum("rows")).first()[0] or 0
+    is_hot = F.col("rows") * HOT > total
+    hot = copies.filter(is_hot & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_hash"))
+    often = chosen.filter(is_hot)
+    rest = docs.join(F.broadcast(hot), same(hot), "left_anti").join(chosen, same(chosen), "left_semi")
+    kept = rest.unionByName(docs.join(F.broadcast(often), same(often), "left_semi"))
+    if not chosen.filter("rows > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))

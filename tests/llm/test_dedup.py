@@ -79,6 +79,21 @@ def test_keep_one_per_group(spark):
     assert got.filter("doc_id is null").count() == 1
 
 
+@pytest.mark.parametrize("hot", [1, 4, 1000])
+def test_one_id_in_several_groups(spark, monkeypatch, hot):
+    """Rows of one id with unlike texts: every group keeps one row, whichever of them is a copy of a smaller id."""
+    monkeypatch.setattr(simhash_dedup, "HOT", hot)
+    texts = [f"a{i} b{i} c{i} d{i}" for i in range(12)]
+    rows = [(1, texts[0])] + [(7, t) for t in texts[:10]] + [(8, texts[3]), (9, texts[10]), (7, texts[11]), (6, texts[11])]
+    rows += [(7, texts[5])] * 6 + [(7, None), (7, ""), (2, " ")]
+    got = simhash_dedup.keep_one_per_group(docs_frame(spark, rows, extra=("rows", "root", "kept_hash")), 3, 0).collect()
+    want = [(1, texts[0])] + [(7, t) for t in texts[1:10]] + [(9, texts[10]), (6, texts[11]), (2, " ")]
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want)
+    near = [(3, "x " * 50 + "end"), (4, "x " * 50), (4, "quite another text of words"), (5, "quite another text of words")]
+    got = simhash_dedup.keep_one_per_group(docs_frame(spark, near), 3, 3).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [near[0], near[2]]
+
+
 def test_empty_tables(spark):
     docs = docs_frame(spark, [])
     assert simhash_dedup.near_duplicate_groups(docs).count() == 0
