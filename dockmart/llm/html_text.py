@@ -6,6 +6,9 @@ density of stop words (long text with enough stop words is good, without them ba
 undecided. **Pass two** gives each undecided block the label of its nearest decided neighbours: good next to good, bad
 between bad; where they differ or there are none, a block inside an article is good and a middling block outside it too,
 a short one outside is bad. Inside an article text is never bad for want of stop words, so prose in any language stays.
+Where one article alone holds at least as much kept text as stands outside all of them, the text outside is left out;
+shorter articles are cards beside the main text, and all kept text stays. An article that keeps nothing but links is a
+teaser, left out unless the page has no other text.
 
 Text keeps page order, one line a block; character references are decoded, white space inside a block becomes one blank.
 Scripts, styles, forms, markup and comments of the page's source give no text. Nothing else is dropped or capped.
@@ -252,8 +255,17 @@ def extract(page: str | None) -> str:
         return ""
     found = blocks(page)
     keep = second_pass(found, [first_pass(b) for b in found])
-    if any(b.main and k for b, k in zip(found, keep, strict=True)):
-        # a page that marks its article has no main text outside it
+    size: dict[int, int] = {}  # kept text of each article, 0 for the text outside
+    prose = {0}
+    for b, k in zip(found, keep, strict=True):
+        if k:
+            size[b.main] = size.get(b.main, 0) + len(b.text)
+            if b.link_chars <= MOST_LINKS * len(b.text):
+                prose.add(b.main)
+    if 0 in size or len(prose) > 1:
+        keep = [k and b.main in prose for b, k in zip(found, keep, strict=True)]
+    if max((n for main, n in size.items() if main and main in prose), default=-1) >= size.get(0, 0):
+        # a page whose article holds most of its text has no main text outside it
         keep = [k and b.main > 0 for b, k in zip(found, keep, strict=True)]
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 

@@ -63,6 +63,31 @@ def test_awkward_pages(page, text):
     assert html_text.extract(page) == text
 
 
+_BODY = "This is the text of the page and it is as long as it has to be for the rules to see that it is prose with stop words. " * 2
+_CARD = "<section><article><h3><a href=/o>Other story</a></h3>%s</article></section>"
+
+
+@pytest.mark.parametrize("body", ["<div><p>%s</p><p>And so on.</p><p>%s</p></div>", "<div>%s</div><div>And so on.</div><div>%s</div>"])
+@pytest.mark.parametrize(
+    ("card", "extra"),
+    [
+        (_CARD % "", []),  # links only: a teaser
+        (_CARD % "" * 3, []),
+        (_CARD % "<p>A few words on it.</p>", ["Other story", "A few words on it."]),
+        (_CARD % f"<p>{_BODY}</p>", ["Other story", _BODY.strip()]),
+    ],
+)
+def test_a_card_beside_the_main_text_does_not_replace_it(body, card, extra):
+    page = "<body>" + body % (_BODY, _BODY) + card + "</body>"
+    assert html_text.extract(page).split("\n") == [_BODY.strip(), "And so on.", _BODY.strip(), *extra]
+
+
+def test_an_article_with_most_of_the_text_is_the_main_text():
+    page = f"<body><div><p>{_BODY}</p></div><article><h1><a href=/t>Title</a></h1><p>{_BODY}</p><p>The end.</p></article></body>"
+    assert html_text.extract(page).split("\n") == ["Title", _BODY.strip(), "The end."]
+    assert html_text.extract("<main><ul><li><a href=a>one</a><li><a href=b>two</a></ul></main>") == "one\ntwo"
+
+
 def test_scanner_is_linear():
     for page in ("<" * 200_000, "<a b=\"" * 50_000, "<p>" * 50_000 + "x", "<div " * 50_000, "<!--" * 50_000, "&amp" * 50_000):
         html_text.extract(page)
