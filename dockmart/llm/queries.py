@@ -10,7 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockmart.llm import ann, chat_format, decontam, html_text, mixing, quality, simhash_dedup, substring_dedup, token_table, toxicity
+from dockmart.llm import (
+    ann,
+    chat_format,
+    collocations,
+    decontam,
+    html_text,
+    mixing,
+    quality,
+    repair,
+    simhash_dedup,
+    substring_dedup,
+    token_table,
+    topk,
+    toxicity,
+)
 from dockmart.llm.common import prepare, id_remainder
 
 
@@ -85,6 +99,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), k=13, m=5)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of 2 to 4 words that occur 30 times or more."""
+    return collocations.collocations(_read(spark, sf_dir, "documents"), max_words=4, least=30, covered_percent=80, top=2000)
+
+
+def op12_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every vector whose id is divisible by 100."""
+    rows = topk.vectors(_read(spark, sf_dir, "embeddings"))
+    return topk.top_scores(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a checksum of its turns, with its faults and cheapest repair."""
+    return repair.repair(repair.damage(_read(spark, sf_dir, "conversations")), copies="copies")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to the token table."""
     import corpus_pipeline
@@ -106,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_table,
         op10_substring_dedup,
+        op11_collocations,
+        op12_top_scores,
+        op13_conversation_repair,
         pipeline,
     )
 }
@@ -133,8 +166,8 @@ NEAREST_SQL = """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), d AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
@@ -145,4 +178,148 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op3_chat_formatting": CHAT_SQL}
+#: All windows of 13 words, the smallest document of each, and the words that no window of a later document covers.
+REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT rid, doc_id, i, array_to_string(w[i:i + 12], ' ') AS words
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13 AND doc_id IS NOT NULL)
+), earliest AS (
+  SELECT words, min(doc_id) AS first_id FROM windows GROUP BY words
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 13)) AS p FROM windows JOIN earliest USING (words) WHERE first_id < doc_id
+), placed AS (
+  SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs
+), kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words FROM placed ANTI JOIN gone USING (rid, p) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+#: Every contiguous phrase of up to four words, counted as it stands.
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), counted AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4)) s(size) WHERE len(w) >= size)
+  GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, h.f AS l, t.f AS r, CAST((2000000::HUGEINT * c.f) // (h.f::HUGEINT + t.f) AS BIGINT) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counted WHERE size > 1) c
+  JOIN counted h ON h.lang = c.lang AND h.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted t ON t.lang = c.lang AND t.phrase = array_to_string(c.w[k + 1:], ' ')
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covered AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS cover
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS m FROM counted WHERE size > 2))
+  GROUP BY ALL
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM weakest LEFT JOIN covered USING (lang, phrase)
+  WHERE cover IS NULL OR 100::HUGEINT * cover < 80::HUGEINT * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+#: Exhaustive search over integer components.
+TOP_SCORES_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM d
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def _path(state: str, cost: str, edit: str, row: str | None = None) -> str:
+    """SQL: a path (cost c, audit a, rows o) one edit longer."""
+    rows = f"{state}.o" if row is None else f"list_append({state}.o, {row})"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'o': {rows}}}"
+
+
+def _closed(source: str) -> str:
+    """SQL: the best path to each state (n nothing, s system, u user, a assistant), inserted rows included."""
+    user, assistant = ("'user:'", "'assistant:'")
+    return f"""SELECT conv_id, i, n, s, u, list_min([a, {_path("u", "3", "I", assistant)}]) AS a FROM (
+    SELECT conv_id, i, n, s, a, list_min([u, {_path("n", "3", "I", user)}, {_path("s", "3", "I", user)}, {_path("a", "3", "I", user)}]) AS u FROM (
+    SELECT conv_id, i, n, s, u, list_min([a, {_path("u", "3", "I", assistant)}]) AS a FROM ({source})))"""
+
+
+def _kept(state: str, initial: str) -> str:
+    return f"CASE WHEN initial = '{initial}' AND fault IN ('', 'truncated') THEN {_path(state, 'extra', 'K', 'kept')} END"
+
+
+def _reroled(state: str, role: str) -> str:
+    rerole = _path(state, "3 + extra", "R", f"'{role}:' || text")
+    return f"CASE WHEN fault IN ('', 'truncated') THEN {rerole} END"
+
+
+_FAR = "{'c': 1000000000, 'a': '', 'o': []::VARCHAR[]}"
+_START = f"SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 'o': []::VARCHAR[]}} AS n, {_FAR} AS s, {_FAR} AS u, {_FAR} AS a FROM conversations"
+_STEP = f"""SELECT g.conv_id, r.i, {_path("g.n", "4", "D")} AS n,
+      list_min([{_path("g.s", "4", "D")}, {_kept("g.n", "s")}]) AS s,
+      list_min([{_path("g.u", "4", "D")}, {", ".join(_kept(x, "u") for x in ("g.n", "g.s", "g.a"))}, {", ".join(_reroled(x, "user") for x in ("g.n", "g.s", "g.a"))}]) AS u,
+      list_min([{_path("g.a", "4", "D")}, {_kept("g.u", "a")}, {_reroled("g.u", "assistant")}]) AS a
+    FROM path g JOIN judged r ON r.conv_id IS NOT DISTINCT FROM g.conv_id AND r.i = g.i + 1"""
+
+#: Damage by CRC-32 (bit by bit), faults, and a forward search over four states that keeps the least (cost, audit) of each.
+REPAIR_SQL = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(unicode(c) AS BIGINT)),
+           lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, j: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+           4294967295::BIGINT), 4294967295) % 20 AS d
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE d WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM keyed)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS initial, role || ':' || text AS kept, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM (
+    SELECT *, coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal,
+      CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+           WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+    FROM placed)
+), path AS (
+  {_closed(_START)}
+  UNION ALL
+  {_closed(_STEP)}
+), counted AS (
+  SELECT conv_id, count(*) AS rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv_id
+), best AS (
+  SELECT p.conv_id, list_min([p.n, p.a]) AS b, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+         coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal
+  FROM path p LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM p.conv_id WHERE p.i = coalesce(c.rows, 0)
+)
+SELECT conv_id, gaps, blank, duplicate, truncated, illegal, CAST(b.c AS BIGINT) AS cost, b.a AS audit, sha256(array_to_string(b.o, chr(10))) AS repaired_sha256
+FROM best
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_chat_formatting": CHAT_SQL,
+    "op4_nearest_neighbours": NEAREST_SQL,
+    "op10_substring_dedup": REPEATS_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
+    "op12_top_scores": TOP_SCORES_SQL,
+    "op13_conversation_repair": REPAIR_SQL,
+}
