@@ -29,13 +29,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockmart.llm.common import gram_hashes, mix64, staged, word_hashes
+from dockmart.llm.common import mix64, staged
 from dockmart.llm.substring_dedup import _may_hold, bloom_filter
 
 #: One window in so many ends a chunk.
@@ -71,18 +72,59 @@ def tokenise(parts: list[bytes]) -> tuple[bytes, Tokens]:
     data = np.frombuffer(joined, np.uint8)
     blanks = np.flatnonzero(data == 32)
     start, end = np.concatenate(([0], blanks + 1)), np.concatenate((blanks, [len(data)]))
-    last = np.cumsum([len(p) + 1 for p in parts])
-    return joined, Tokens(data, start, end, np.searchsorted(last, start, side="right"), (end - start == 1) & (data[start] == 10))
+    first = np.searchsorted(start, np.cumsum([0] + [len(p) + 1 for p in parts]))
+    owner = np.repeat(np.arange(len(parts)), np.diff(first))
+    return joined, Tokens(data, start, end, owner, (end - start == 1) & (data[start] == 10))
+
+
+#: An odd factor and its inverse modulo 2**64, and bytes that one step hashes.
+_ODD = 0x9E3779B97F4A7C15
+_STEP = 1 << 18
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def hash_words(t: Tokens, seed: int) -> np.ndarray:
+    """A 64-bit hash of each token: a polynomial over its bytes, read off running sums, mixed with its length."""
+    table = mix64(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed << 32))
+    out = np.empty(len(t.start), np.uint64)
+    i = 0
+    while i < len(out):
+        low = int(t.start[i])
+        j = max(i + 1, int(np.searchsorted(t.end, low + _STEP, side="right")))
+        size = int(t.end[j - 1]) - low
+        up, down = (_powers(x, max(_STEP, size) + 1) for x in (_ODD, pow(_ODD, -1, 1 << 64)))
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(table[t.data[low : low + size]] * up[:size], out=sums[1:])
+        a, b = t.start[i:j] - low, t.end[i:j] - low
+        out[i:j] = (sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)
+        i = j
+    return mix64(out)
+
+
+def hash_grams(words: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``n`` words, given the words' hashes."""
+    count = max(0, len(words) - n + 1)
+    out = words[:count].copy()
+    for k in range(1, n):
+        out *= np.uint64(_ODD)
+        out += words[k : k + count]
+    return mix64(out + np.uint64(n))
 
 
 def parse(texts: list[bytes], window: int, modulus: int = MODULUS) -> Iterator[tuple[int, bytes, int]]:
     """(text number, chunk, words that begin in it) of normalised texts."""
     joined, t = tokenise(texts)
-    words = word_hashes(joined, (t.start, t.end))
+    words = hash_words(t, 1)
     first = np.flatnonzero(np.diff(t.owner, prepend=-1))
     final = np.append(first[1:], len(t.start)) - window  # the marks at the end of each text
     cut = np.zeros(len(t.start), bool)
-    cut[: len(t.start) - window + 1] = gram_hashes(words, window, seed=31) % np.uint64(modulus) == 0
+    cut[: len(t.start) - window + 1] = hash_grams(words, window) % np.uint64(modulus) == 0
     for k in range(1, window):  # no window reaches beyond its text
         cut[final + k] = False
     cut[first] = cut[final] = True
@@ -132,14 +174,17 @@ def dictionary(docs: DataFrame, window: int, text_col: str = "text", lang_col: s
 
 def _lang_seeds(langs: list[str]) -> np.ndarray:
     """A 64-bit value for each row's language."""
-    known = {x: word_hashes(x.encode(), (np.array([0]), np.array([len(x.encode())])), seed=33)[0] for x in set(langs)}
-    return np.array([known[x] for x in langs], np.uint64)
+    names, at = np.unique(np.array(langs, object), return_inverse=True)
+    raw = [np.frombuffer(x.encode() or b"\0", np.uint8) for x in names.tolist()]
+    ends = np.cumsum([len(x) for x in raw])
+    known = Tokens(np.concatenate(raw), ends - np.array([len(x) for x in raw]), ends, at, at)
+    return hash_words(known, 3)[at]
 
 
 def _phrases(words: np.ndarray, langs: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the phrases of ``n`` words that begin at each token, the language included."""
-    grams = gram_hashes(words, n, seed=34)
-    return mix64(grams ^ langs[: len(grams)])
+    grams = hash_grams(words, n)
+    return grams ^ langs[: len(grams)]
 
 
 def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -150,13 +195,13 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def _count_buffer(langs: list[str], chunks: list[bytes], used: np.ndarray, n: int, window: int, known: np.ndarray | None) -> pa.RecordBatch | None:
-    joined, t = tokenise(chunks)
+    _, t = tokenise(chunks)
     stop = np.append(np.flatnonzero(np.diff(t.owner)) + 1, len(t.start))
     # a phrase that begins in the last window is the next chunk's
     ok = np.arange(len(t.start)) < (stop - window)[t.owner]
     for k in range(n):
         ok[: len(t.start) - k] &= ~t.mark[k:]
-    words, seeds = word_hashes(joined, (t.start, t.end)), _lang_seeds(langs)[t.owner]
+    words, seeds = hash_words(t, 1), _lang_seeds(langs)[t.owner]
     if known is not None:
         part = _may_hold(known, _phrases(words, seeds, n - 1))
         ok[: len(part)] &= part
@@ -169,7 +214,7 @@ def _count_buffer(langs: list[str], chunks: list[bytes], used: np.ndarray, n: in
     at, keys = at[order], keys[order]
     new = np.diff(keys, prepend=~keys[:1]) != 0
     if not new.all():  # an independent hash tells different phrases with one hash apart
-        other = _phrases(word_hashes(joined, (t.start, t.end), seed=35), seeds, n)[at]
+        other = _phrases(hash_words(t, 2), seeds, n)[at]
         new |= np.diff(other, prepend=~other[:1]) != 0
     heads = np.flatnonzero(new)
     first = at[heads]
@@ -203,9 +248,9 @@ def _filter_of(phrases: DataFrame, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _buffers(batches, 1):
             langs = [x for b in held for x in b.column(0).to_pylist()]
-            joined, t = tokenise([x.as_buffer().to_pybytes() for b in held for x in b.column(1)])
+            _, t = tokenise([x.as_buffer().to_pybytes() for b in held for x in b.column(1)])
             first = np.flatnonzero(np.diff(t.owner, prepend=-1))
-            keys = _phrases(word_hashes(joined, (t.start, t.end)), _lang_seeds(langs)[t.owner], n)[first]
+            keys = _phrases(hash_words(t, 1), _lang_seeds(langs)[t.owner], n)[first]
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["mh"])
 
     keys = phrases.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInArrow(run, "mh long")

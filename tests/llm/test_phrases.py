@@ -150,8 +150,7 @@ def test_one_hash_for_different_phrases(monkeypatch):
     real = collocations._phrases
     monkeypatch.setattr(collocations, "_phrases", lambda words, langs, n: real(words, langs, n) if words[0] == other else np.full(len(words) - n + 1, 7, np.uint64))
     chunks = [b"a b \n \n \n", b"b a \n \n \n"]
-    joined, t = collocations.tokenise(chunks)
-    other = collocations.word_hashes(joined, (t.start, t.end), seed=35)[0]
+    other = collocations.hash_words(collocations.tokenise(chunks)[1], 2)[0]
     batch = collocations._count_buffer(["en", "en"], chunks, np.array([2, 3]), 1, 3, None)
     found = Counter()
     for phrase, f in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
