@@ -8,7 +8,9 @@ encoded (DELTA_BINARY_PACKED), as they ascend or vary little. Row groups and pag
 and offset indexes are written, so a filter on doc_id opens the pages it needs, and a metadata read (doc_id, n_tokens)
 leaves the id pages alone.
 
-**Plan.** Documents are range-partitioned by (doc_id, text hash) and sorted; one Arrow pass encodes and numbers them;
+**Plan.** Borders between ranges of (doc_id, text hash) come from a bounded sample of these two columns. One Arrow pass
+encodes each text where it is read; what travels to its range is two bytes an id (four where the vocabulary needs them), and
+equal rows that follow each other travel once with their number. There the rows are sorted, and a second pass numbers them;
 Spark's own Parquet writer commits the files (a lost executor's task is redone, its half file never seen). Where a
 range starts is the sum of the ranges before it: one row per range, read from the metadata columns only.
 
@@ -25,6 +27,7 @@ come first. Extra columns are ignored. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import re
 import zlib
@@ -33,7 +36,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
@@ -184,19 +186,65 @@ def encode_texts(texts: list[bytes], path: str | None = None, cache_parts: int |
     return [flat[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _together(batches: Iterator[pa.RecordBatch], together: int | None = None) -> Iterator[tuple[list, list[bytes]]]:
-    """Rows (doc_id, text) in groups of about ``TOGETHER`` bytes of text."""
-    ids, texts, size = [], [], 0
+def _together(batches: Iterator[pa.RecordBatch], together: int | None = None) -> Iterator[tuple[list, list[bytes], list[int]]]:
+    """Keys (doc_id, text hash), texts and copies in groups of about ``TOGETHER`` bytes of text; equal rows that follow
+    each other, as a mix repeats them, are one with their number."""
+    keys, texts, copies, size = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids.append(doc_id)
-            texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
-            size += len(texts[-1])
+        for key, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), batch.column(2), strict=True):
+            data = text.as_buffer().to_pybytes() if text.is_valid else b""
+            if keys and key == keys[-1] and data == texts[-1]:
+                copies[-1] += 1
+                continue
             if size >= (together or TOGETHER):
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+                yield keys, texts, copies
+                keys, texts, copies, size = [], [], [], 0
+            keys.append(key)
+            texts.append(data)
+            copies.append(1)
+            size += len(data)
+    if keys:
+        yield keys, texts, copies
+
+
+#: Rows that place each border between ranges.
+_SAMPLE = 64
+
+_ENCODED = "part int, doc_id long, th long, copies long, wide boolean, packed binary"
+
+
+def range_borders(keys: DataFrame, parts: int) -> list[tuple]:
+    """At most ``parts - 1`` keys (doc_id, th) that cut ``keys`` into ranges of about as many rows: from ``_SAMPLE`` rows a range."""
+    rows = keys.withColumn("_r", F.rand(9)).orderBy("_r").limit(_SAMPLE * parts).drop("_r").collect()
+    ordered = sorted(_place(r["doc_id"], r["th"]) for r in rows)
+    return sorted({ordered[len(ordered) * i // parts] for i in range(1, parts)}) if ordered else []
+
+
+def _place(doc_id: int | None, th: int) -> tuple:
+    """The order of keys: null ids first."""
+    return (doc_id is not None, doc_id or 0, th)
+
+
+def encode_rows(rows: DataFrame, borders: list[tuple], tokenizer: str | None, cache_parts: int | None, together: int | None) -> DataFrame:
+    """(part, doc_id, th, copies, wide, packed) of (doc_id, th, text): the ids, in two bytes each where all fit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, texts, copies in _together(batches, together):
+            encoded = [np.frombuffer(x, "<u4") for x in encode_texts(texts, tokenizer, cache_parts)]
+            wide = [bool(len(x)) and int(x.max()) >= 1 << 16 for x in encoded]
+            packed = [(x if w else x.astype("<u2")).tobytes() for x, w in zip(encoded, wide)]
+            part = [bisect.bisect_right(borders, _place(*k)) for k in keys]
+            columns = [
+                pa.array(part, pa.int32()),
+                pa.array([k[0] for k in keys], pa.int64()),
+                pa.array([k[1] for k in keys], pa.int64()),
+                pa.array(copies, pa.int64()),
+                pa.array(wide, pa.bool_()),
+                pa.array(packed, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "th", "copies", "wide", "packed"])
+
+    return rows.mapInArrow(run, _ENCODED)
 
 
 def write_tokens(
@@ -212,47 +260,49 @@ def write_tokens(
 
     ``cache_parts`` and ``together`` trade a worker's memory for time (see ``CACHE_PARTS`` and ``TOGETHER``).
     """
-    ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
-        .repartitionByRange("doc_id", "th")
-        .sortWithinPartitions("doc_id", "th")
-        .select("doc_id", "text")
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = encode_rows(rows, range_borders(rows.select("doc_id", "th"), parts), tokenizer, cache_parts, together)
+    ordered = encoded.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "th")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
+        part, done = None, 0
         ids: list[int | None] = []
+        parts: list[int] = []
         starts: list[int] = []
-        encoded: list[bytes] = []
+        encoded: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            counts = np.fromiter((len(e) // 4 for e in encoded), np.int64, len(encoded))
-            flat = np.frombuffer(b"".join(encoded), "<i4")
+            counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(counts),
-                    pa.array(np.full(len(ids), part, np.int32)),
+                    pa.array(parts, pa.int32()),
                     pa.array(starts, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(encoded))),
                 ],
                 ["doc_id", "n_tokens", "part", "part_start", "ids"],
             )
 
-        end = np.asarray([END_ID], "<u4").tobytes()
-        for doc_ids, texts in _together(batches, together):
-            for doc_id, data in zip(doc_ids, encode_texts(texts, tokenizer, cache_parts), strict=True):
-                data += end
-                ids.append(doc_id)
-                starts.append(done)
-                encoded.append(data)
-                done += len(data) // 4
-                size += len(data) // 4
-                if size >= BATCH_IDS:
-                    yield flush()
-                    ids, starts, encoded, size = [], [], [], 0
+        for batch in batches:
+            for i, (row_part, doc_id, _, copies, wide) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)))):
+                if row_part != part:
+                    part, done = row_part, 0
+                tokens = np.frombuffer(batch.column(5)[i].as_buffer(), "<u4" if wide else "<u2").astype("<i4")
+                tokens = np.append(tokens, np.int32(END_ID))
+                for _ in range(copies):
+                    ids.append(doc_id)
+                    parts.append(part)
+                    starts.append(done)
+                    encoded.append(tokens)
+                    done += len(tokens)
+                    size += len(tokens)
+                    if size >= BATCH_IDS:
+                        yield flush()
+                        ids, parts, starts, encoded, size = [], [], [], [], 0
         if ids:
             yield flush()
 

@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from helpers import docs_frame, words_of
@@ -247,3 +248,29 @@ def test_parts_of_words_encode_like_whole_texts():
     got = token_table.encode_texts([t.encode() for t in texts])
     for text, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_copies_and_wide_ids(spark, monkeypatch):
+    """Rows that a mix repeats travel once and are written as often as they stand; ids past 16 bits keep four bytes."""
+    rows = [(i // 4, f"text {i // 4} of, {'many words ' * (i // 4 % 5)}") for i in range(400)] + [(None, "x y")] * 3 + [(None, None), (7, "another")]
+    docs = docs_frame(spark, rows).coalesce(2)
+    got = token_table.digests(token_table.token_table(docs)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+    keyed = docs.selectExpr("doc_id", "xxhash64(text) AS th", "cast(text AS binary) AS text")
+    encoded = token_table.encode_rows(keyed, token_table.range_borders(keyed.select("doc_id", "th"), 8), None, None, None).collect()
+    assert len(encoded) < 120 and sum(r.copies for r in encoded) == len(rows) and not any(r.wide for r in encoded)
+    assert len({r.part for r in encoded}) > 4
+
+    def far(texts, *_):
+        return [np.array([70_000, len(t)], "<u4").tobytes() for t in texts]
+
+    batches = iter([pa.RecordBatch.from_pydict({"doc_id": [1, 2], "th": [3, 4], "text": [b"ab", b"c"]})])
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(token_table, "encode_texts", far)
+    (batch,) = token_table.encode_rows(Rows(), [], None, None, None)(batches)
+    assert batch.column(4).to_pylist() == [True, True] and np.frombuffer(batch.column(5)[0].as_py(), "<u4").tolist() == [70_000, 2]
