@@ -102,6 +102,16 @@ def bounded_label_sample(labels: DataFrame, label: str, eligible: Column, rows_p
     return parts[0].unionByName(parts[1]).groupBy("doc_id").agg(F.max("label").alias("label"))
 
 
+def sampled_texts(docs: DataFrame, ids: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, label, text) of the sampled ids (a bounded number of rows, so they are broadcast): one row an id.
+
+    Where an id repeats, the text with the smallest hash stands for it, so a sample never outgrows its ids.
+    """
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast(kind).alias("text"))
+    found = text.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label")
+    return found.agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+
+
 def class_counts(labels: DataFrame, label: str, eligible: Column) -> tuple[int, int]:
     """Eligible rows with label 0 and with label 1."""
     rows = (

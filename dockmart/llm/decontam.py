@@ -10,13 +10,16 @@ runs of five words (all words, for shorter items), with their counts as weights.
    bit b. Windows that overlap share prefix sums of bit counts.
 3. **Multi-index.** The 64 bits are cut into radius + 1 blocks, each with a table of the items' values. A fingerprint
    within ``radius`` of an item's agrees with it in at least one block (pigeonhole), so looking up all blocks finds all
-   items of the window's size within the radius; the Hamming distance is then checked in full.
+   items of the window's size within the radius; the Hamming distance is then checked in full. Where few shingles carry an
+   item's weight (two words in turn, one word many times), one changed shingle can decide a large part of the bits. Whether
+   the radius allows for that is reckoned from the item's own bag (``miss_chance``); if not, the item is looked up by its
+   shingles instead, and every window that shares one with it is verified.
 4. **Verification.** Weighted Jaccard similarity of the two shingle bags, sum of least over sum of greatest counts, at
    least ``similarity``.
 
 Scale: one pass over the documents for each block of at most ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes of item
-text; only such a block is ever sent to the workers, so what is broadcast has a fixed bound however large the benchmark
-is. No shuffle, no state between documents: a lost executor repeats its own splits.
+text (a longer item is a block of its own); items are sorted by Spark and read one block at a time, and only such a block is
+ever sent to the workers, so what is broadcast has a fixed bound however large the benchmark is. No shuffle, no state between documents: a lost executor repeats its own splits.
 
 Edge cases: null or empty texts hold nothing; an item without words matches nothing; items that share an id count as
 one, with their best match. Repeated documents each get their own matches. Extra columns are ignored. Empty tables give
@@ -25,21 +28,22 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockmart.llm.common import gram_hashes, staged, word_hashes, word_spans
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bits. Bags of weighted similarity 0.8 have a cosine of about 0.89, which flips 9.7 of 64 bits on average with a
-#: standard deviation of 2.9; 18 is nearly three deviations above.
+#: Bits. Where many shingles of like weight make up a bag, one of similarity 0.8 has a cosine of about 0.89, which flips 9.7
+#: of 64 bits on average with a standard deviation of 2.9; 18 is nearly three deviations above (see ``miss_chance``).
 RADIUS = 18
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
@@ -71,6 +75,30 @@ def simhash(hashes: np.ndarray) -> int:
     return int(_pack((2 * _bits(hashes).sum(0, dtype=np.int64) > len(hashes))[None, :].astype(np.uint8))[0])
 
 
+#: Random shingle values from which the share of changed bits is reckoned, and the chance of a miss that is allowed.
+_DRAWS = 4096
+MISS = 0.005
+
+
+def miss_chance(weights: list[int], similarity: float, radius: int) -> float:
+    """The chance that a bag at ``similarity`` to one with these weights differs in more than ``radius`` bits.
+
+    The bag gives up the weight that the similarity allows, its lightest shingles or its heaviest ones first, for new
+    shingles of the same weights; the worse of both counts.
+    """
+    w = np.sort(np.asarray(weights, np.int64))
+    spare = int(w.sum() * (1 - similarity) / (1 + similarity) + 1e-9)
+    if not spare:
+        return 0.0
+    rng = np.random.default_rng([len(w), int(w.sum()), spare])
+    old, new = (rng.integers(0, 2, (_DRAWS, len(w)), np.int8).astype(float) * 2 - 1 for _ in range(2))
+    share = 0.0
+    for order in (w, w[::-1]):
+        lost = np.minimum(order, np.maximum(0, spare - (np.cumsum(order) - order)))
+        share = max(share, float(((old @ order > 0) != (old @ (order - lost) + new @ lost > 0)).mean()))
+    return sum(math.comb(64, k) * share**k * (1 - share) ** (64 - k) for k in range(radius + 1, 65))
+
+
 def _groups(texts: Iterator[bytes], most: int = 2 << 20) -> Iterator[list[bytes]]:
     group, size = [], 0
     for text in texts:
@@ -93,6 +121,9 @@ class ItemIndex:
         self.items: list[tuple[int, int, Counter]] = []  # id, fingerprint, bag
         # words in the window -> block -> value -> items
         self.tables: dict[int, list[dict[int, list[int]]]] = {}
+        # words in the window -> shingle's hash -> items that few shingles carry
+        self.carried: dict[int, dict[int, list[int]]] = {}
+        allowed: dict[tuple[int, ...], bool] = {}
         grams: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))  # shingle -> hash -> sizes
         for item_id, text in items:
             words = _words(text)
@@ -101,11 +132,18 @@ class ItemIndex:
                 continue
             n = min(shingle, size)
             hashes = gram_hashes(words, n, seed=n)
-            fp = simhash(hashes)
+            fp, bag = simhash(hashes), Counter(hashes.tolist())
+            weights = tuple(sorted(bag.values()))
+            if weights not in allowed:
+                allowed[weights] = miss_chance(weights, similarity, radius) <= MISS
             table = self.tables.setdefault(size, [defaultdict(list) for _ in self.blocks])
             for (at, mask), values in zip(self.blocks, table, strict=True):
                 values[fp >> at & mask].append(len(self.items))
-            self.items.append((item_id, fp, Counter(hashes.tolist())))
+            if not allowed[weights]:
+                by_gram = self.carried.setdefault(size, defaultdict(list))
+                for h in bag:
+                    by_gram[h].append(len(self.items))
+            self.items.append((item_id, fp, bag))
             for h in hashes.tolist():
                 grams[n][h].add(size)
         self.grams = {n: (np.array(sorted(found), np.uint64), {h: sorted(s) for h, s in found.items()}) for n, found in grams.items()}
@@ -160,6 +198,7 @@ class ItemIndex:
     def _windows(self, grams: np.ndarray, n: int, size: int, places: list[int], best: dict) -> None:
         count = min(size - n + 1, len(grams))  # shingles in a window
         at = np.asarray(places)
+        carried = self.carried.get(size)
         starts = np.unique(np.concatenate([np.clip(at - d, 0, len(grams) - count) for d in range(count)]))
         for a in range(0, len(starts), 4096):
             part = starts[a : a + 4096]
@@ -173,7 +212,9 @@ class ItemIndex:
             fps = _pack((2 * ones > count).astype(np.uint8)).tolist()
             for start, fp in zip(part.tolist(), fps, strict=True):
                 near = {i for (bit, mask), t in zip(self.blocks, self.tables[size], strict=True) for i in t.get(fp >> bit & mask, ())}
-                near = [i for i in near if (self.items[i][1] ^ fp).bit_count() <= self.radius]
+                near = {i for i in near if (self.items[i][1] ^ fp).bit_count() <= self.radius}
+                if carried:
+                    near.update(i for h in set(grams[start : start + count].tolist()) for i in carried.get(h, ()))
                 if not near:
                     continue
                 bag = Counter(grams[start : start + count].tolist())
@@ -194,17 +235,16 @@ def item_blocks(benchmark: DataFrame, shingle: int = SHINGLE, radius: int = RADI
     """The benchmark (item_id, text), one block of bounded size at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
     items = items.filter("item_id is not null and text is not null")
-    # a block is closed by rows or by bytes, whichever comes first: the number of bounds passed before the item
-    order = Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, -1)
-    sized = items.withColumn("bytes", F.octet_length("text"))
-    place = F.greatest(
-        F.floor(F.coalesce(F.count("*").over(order), F.lit(0)) / BLOCK_ITEMS),
-        F.floor(F.coalesce(F.sum("bytes").over(order), F.lit(0)) / BLOCK_BYTES),
-    )
-    table = staged(sized.withColumn("block", place).drop("bytes"), "items")
-    for row in table.select("block").distinct().orderBy("block").toLocalIterator():
-        block = table.filter(F.col("block") == row["block"]).orderBy("item_id", "text").collect()
-        yield ItemIndex([(r["item_id"], bytes(r["text"])) for r in block], shingle, radius, similarity)
+    block, size = [], 0
+    for row in staged(items, "items").orderBy("item_id", "text").toLocalIterator():
+        text = bytes(row["text"])
+        if block and (len(block) >= BLOCK_ITEMS or size + len(text) > BLOCK_BYTES):
+            yield ItemIndex(block, shingle, radius, similarity)
+            block, size = [], 0
+        block.append((row["item_id"], text))
+        size += len(text)
+    if block:
+        yield ItemIndex(block, shingle, radius, similarity)
 
 
 _MATCH = "doc_id long, item_id long, similarity double, first_word long, n_words long, hamming int"

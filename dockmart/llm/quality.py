@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmart.llm.common import bounded_label_sample, class_counts, fit_logistic, logistic_score, staged
+from dockmart.llm.common import bounded_label_sample, class_counts, fit_logistic, logistic_score, sampled_texts, staged
 
 BLOCK = 2048
 ROWS = 4000
@@ -112,8 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, label: str = "qual
     if not n_good or not n_bad:
         return CompressionModel(b"", b"", None, prior)
     ids = bounded_label_sample(labels, label, eligible, rows, seed)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sample = staged(text.join(F.broadcast(ids), "doc_id").filter(F.length("text") > 0).select("doc_id", "label", "text"), "quality-sample")
+    sample = staged(sampled_texts(docs.filter(F.length("text") > 0), ids, "binary"), "quality-sample")
     half = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(2))
     pieces = sample.filter(half == 0).mapInPandas(_blocks, "doc_id long, label int, at int, block binary")
     order = F.xxhash64(F.lit(seed + 2), "doc_id", "at")

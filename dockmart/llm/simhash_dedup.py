@@ -104,7 +104,9 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     """(u, v), u < v: the pairs of distinct fingerprints in column ``fp`` at most ``max_bits`` bits apart."""
     if not 0 <= max_bits <= 15:
         raise ValueError("max_bits must be between 0 and 15")
-    distinct = fps.select("fp").distinct()
+    # a set number of partitions: each row becomes dozens below, so few small partitions must not be merged before that
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = fps.select("fp").repartition(parts, "fp").distinct()
     if max_bits == 0:
         return distinct.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
     segments = _segments(max_bits)
@@ -131,7 +133,7 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
         masks = F.element_at(F.array(*[F.lit(_mask(segments, i, length)) for i in range(m)]), F.col("p.i") + 1)
         chain = chain & (F.bit_count(differ.bitwiseAND(masks)) <= length - 1)
     found = probes.alias("p").join(
-        exact.hint("shuffle_hash").alias("x"),
+        exact.alias("x"),
         (F.col("p.i") == F.col("x.i"))
         & (F.col("p.k") == F.col("x.k"))
         & (F.col("u") < F.col("v"))
@@ -220,29 +222,30 @@ def keep_one_per_group(docs: DataFrame, shingle: int, max_bits: int) -> DataFram
 
     Groups are told apart by their root fingerprint and rows by (doc_id, hash of the text), so rows of one doc_id with
     unlike texts stay in groups of their own. Where the smallest doc_id repeats in its group, the row with the smallest
-    hash of its text stays. Rows with a null doc_id name no group and are all kept.
+    hash of its text stays. A row with a null doc_id comes after all others: it stays where its group has no row with an id,
+    and of several such rows the one with the smallest hash.
     """
     table = fingerprints(docs, shingle, hashed=True)
     copies = staged(table.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("rows")), "copies")
-    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th", "rows"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th", "rows")
     best = staged(copies.groupBy("fp").agg(F.min(row).alias("best"), F.sum("rows").alias("rows")), "best")
     rooted = best.select("fp", "best", F.col("fp").alias("root"))
     if max_bits > 0:
         member = _members(best, max_bits)
         rooted = best.join(member, best["fp"] == member["node"], "left").select("best", F.coalesce("root", "fp").alias("root"))
-    chosen = rooted.filter(F.col("best").isNotNull()).groupBy("root").agg(F.min("best").alias("best"))
+    chosen = rooted.groupBy("root").agg(F.min("best").alias("best"))
     chosen = staged(chosen.select(F.col("best.doc_id").alias("kept_id"), F.col("best.th").alias("kept_hash"), "best.rows"), "chosen")
 
     def same(rows: DataFrame) -> Column:
-        return (docs["doc_id"].cast("long") == rows["kept_id"]) & (F.xxhash64(docs["text"]) == rows["kept_hash"])
+        return docs["doc_id"].cast("long").eqNullSafe(rows["kept_id"]) & (F.xxhash64(docs["text"]) == rows["kept_hash"])
 
     # equal rows that are more than a thousandth of all: fewer than HOT, broadcast, so no task takes them all
     total = best.agg(F.sum("rows")).first()[0] or 0
     is_hot = F.col("rows") * HOT > total
-    hot = copies.filter(is_hot & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_hash"))
+    hot = copies.filter(is_hot).select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_hash"))
     often = chosen.filter(is_hot)
     rest = docs.join(F.broadcast(hot), same(hot), "left_anti").join(chosen, same(chosen), "left_semi")
     kept = rest.unionByName(docs.join(F.broadcast(often), same(often), "left_semi"))
     if not chosen.filter("rows > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return kept

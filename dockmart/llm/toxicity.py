@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockmart.llm.common import bounded_label_sample, class_counts, fit_logistic, logistic_score, staged
+from dockmart.llm.common import bounded_label_sample, class_counts, fit_logistic, logistic_score, sampled_texts, staged
 
 ROWS = 8000
 LEXICON = 20_000
@@ -247,8 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, label: str = "toxi
     if not n_toxic or not n_clean:
         return ToxicityModel(lexicon, None, prior)
     ids = bounded_label_sample(labels, label, eligible, rows, seed)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = staged(text.join(F.broadcast(ids), "doc_id"), "toxicity-sample")
+    sample = staged(sampled_texts(docs, ids, "string"), "toxicity-sample")
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return ToxicityModel(lexicon, None, prior)

@@ -75,8 +75,18 @@ def test_keep_one_per_group(spark):
     docs = docs_frame(spark, rows, extra=("fp", "kept_id"))
     got = simhash_dedup.keep_one_per_group(docs, 3, 3)
     assert got.columns == docs.columns
-    assert sorted(r.doc_id for r in got.collect() if r.doc_id is not None) == [3, 9]
-    assert got.filter("doc_id is null").count() == 1
+    assert sorted(r.doc_id for r in got.collect()) == [3, 9]
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_rows_without_ids_are_grouped_too(spark, monkeypatch, hot):
+    """Copies without an id go where a row with an id has their text; a group of such rows alone keeps one."""
+    monkeypatch.setattr(simhash_dedup, "HOT", hot)
+    near = "x " * 50
+    rows = [(None, "one two three four")] * 5 + [(1, "one two three four")] + [(None, "only here and now")] * 4 + [(None, near), (None, near + "end")]
+    got = simhash_dedup.keep_one_per_group(docs_frame(spark, rows), 3, 3).collect()
+    texts = sorted((r.doc_id is None, r.text) for r in got)
+    assert texts[:2] == [(False, "one two three four"), (True, "only here and now")] and len(texts) == 3 and texts[2][1] in (near, near + "end")
 
 
 @pytest.mark.parametrize("hot", [1, 4, 1000])

@@ -149,6 +149,41 @@ def test_blocks_of_items(spark, monkeypatch):
     assert [r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()] == [50]
 
 
+def test_items_that_few_shingles_carry():
+    """Two words in turn, one word many times, runs of a phrase: each similar window is found, whatever its bits."""
+    rng = np.random.default_rng(21)
+    vocab = vocabulary(rng, 300)
+    items, docs = [], []
+    for i in range(400):
+        a, b, c = rng.choice(vocab, 3, replace=False)
+        size = int(rng.integers(13, 40))
+        words = [[a, b][k % 2] for k in range(size)] if i % 3 else [a] * size if i % 2 else [[a, b, c][k % 3] for k in range(size)]
+        items.append((i, " ".join(words)))
+        words[0 if i % 4 else -1] = "edit"  # changes one shingle
+        docs.append((i, " ".join(["before", *words, "after"])))
+    index = decontam.ItemIndex([(i, t.encode()) for i, t in items], decontam.SHINGLE, decontam.RADIUS, decontam.SIMILARITY)
+    want = {(d, i) for pair in zip(docs, items) for (d, i) in _brute_leaks([pair[0]], [pair[1]])}
+    got = {(d, m[0]) for d, text in docs for m in index.matches(text.encode()) if m[0] == d}
+    assert len(want) > 390 and got == want
+
+
+def test_radius_follows_the_bag():
+    for n in (9, 20, 50, 300):
+        assert decontam.miss_chance([1] * n, 0.8, decontam.RADIUS) <= decontam.MISS
+    assert decontam.miss_chance([5, 4], 0.8, decontam.RADIUS) > 0.1 and decontam.miss_chance([1, 1, 1], 0.8, decontam.RADIUS) == 0
+
+
+def test_blocks_are_bounded_by_items_and_bytes(spark, monkeypatch):
+    """Many small items first, then long ones: no block passes either bound, but for one item that is longer."""
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 10)
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
+    items = [(i, "tiny item") for i in range(95)] + [(100 + i, "word " * 60) for i in range(5)] + [(200, "long " * 300)]
+    blocks = [[len(bag) for _, _, bag in b.items] and b.items for b in decontam.item_blocks(spark.createDataFrame(items, "item_id long, text string"))]
+    assert [i for b in blocks for i, _, _ in b] == [i for i, _ in items]
+    sizes = dict(items)
+    assert all(len(b) <= 10 and (len(b) == 1 or sum(len(sizes[i]) for i, _, _ in b) <= 500) for b in blocks)
+
+
 def test_no_items_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = docs_frame(spark, [(1, "a b c")])
