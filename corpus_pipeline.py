@@ -2,7 +2,7 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, and each stage works on
 all that its predecessor kept. All stages but the last return the columns of ``documents``; the mix repeats a row for each
-copy it takes. Decisions rest on texts or on doc_ids; where a doc_id is null, a stage that decides by id keeps the row.
+copy it takes. Decisions rest on texts, and on doc_ids where rows are alike; a row without an id comes after those with one.
 Empty tables give empty results; extra columns travel along.
 """
 
