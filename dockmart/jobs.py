@@ -30,7 +30,7 @@ from dockmart.plans.loads import loads_3g_report, loads_alms_report
 from dockmart.plans.stops import stops_3g_report, stops_alms_report
 from dockmart.session import apply_runtime_conf
 from dockmart.sources import tables as T
-from dockmart.sources.sinks import write_report
+from dockmart.sources.sinks import publish, write_report
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -61,6 +61,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--sort", action="store_true", help="order the stops report as the source does")
     p.add_argument("--limit", type=int, default=None, help="row cap of the 3G stops report (ordered)")
     p.add_argument("--partition-by", action="append", default=[])
+    p.add_argument("--publish", action="store_true", help="write a new version under --output and make it the current one")
     return p.parse_args(argv)
 
 
@@ -68,6 +69,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parse(argv)
     spark = spark or SparkSession.builder.appName(f"dockmart-{args.system}-{args.report}").getOrCreate()
     apply_runtime_conf(spark)
+    if args.publish:
+        publish(build(spark, args), args.output, args.partition_by)
+        return
     write_report(build(spark, args), args.output, partition_by=args.partition_by, as_table=args.as_table)
 
 

@@ -42,6 +42,39 @@ def keys_without(
     )
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``SELECT DISTINCT``, dealt by whole rows.
+
+    After a join on a key, a plain ``distinct`` finds its rows clustered by
+    that key already and adds no exchange, so a key with a third of all rows
+    is one task from the join on, and adaptive execution may not split it.
+    Here the rows are grouped as one struct value: equal rows are still
+    combined before the exchange, which is by the hash of the whole row.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+    return df.select(row).distinct().select("__row.*")
+
+
+def with_counts_by(df: DataFrame, counted: str, by: dict[str, str], rules: TextRules = TextRules()) -> DataFrame:
+    """Add ``COUNT(counted) OVER (PARTITION BY key)`` for several text keys: ``by`` maps output name -> key.
+
+    One pass: each row gives one narrow row a key, (number of the key, value,
+    1 or 0), which one aggregate combines on the map side; each total joins
+    back on its key with NULL-safe equality. The aggregate, and so its
+    exchange, is the same for all totals and is run once.
+    """
+    keys = [normalized(F.col(f"`{k}`"), rules) for k in by.values()]
+    tall = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), k.alias("value")) for i, k in enumerate(keys)]))
+    rows = df.select(tall.alias("g"), F.col(f"`{counted}`").isNotNull().cast("int").alias("n"))
+    # the number is an aggregate too: a test of it stays above the aggregate, which all totals then share
+    totals = rows.groupBy("g").agg(F.sum("n").cast("int").alias("__count"), F.max("g.i").alias("__i"))
+    totals = totals.select(F.col("g.value").alias("__value"), "__count", "__i")
+    for i, (out, key) in enumerate(zip(by, keys)):
+        part = totals.where(F.col("__i") == i).select(F.col("__value").alias(f"__v{i}"), F.col("__count").alias(out))
+        df = df.join(part, key.eqNullSafe(F.col(f"__v{i}")), "left").drop(f"__v{i}")
+    return df
+
+
 def with_group_totals(
     df: DataFrame, by: Sequence[str], source: DataFrame | None = None, rules: TextRules = TextRules(), **aggs: Column
 ) -> DataFrame:

@@ -28,8 +28,14 @@ def rows_per_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def _pct(part: Column, whole: Column) -> Column:
-    # 100.0 * part / whole; NULL when there is nothing to divide by.
-    return F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
+    """``100.0 * part / whole`` of two INTs as T-SQL has it: DECIMAL(26,12), further digits cut off; NULL for no whole.
+
+    DECIMAL(4,1) times INT is DECIMAL(15,1); divided by INT (10 digits) the
+    scale is max(6, 1 + 10 + 1). The digits come from an integer division.
+    """
+    scaled = part.cast("decimal(24,0)") * F.lit(10**14).cast("decimal(15,0)")
+    digits = F.call_function("div", scaled, F.nullif(whole, F.lit(0)).cast("decimal(24,0)"))
+    return (digits.cast("decimal(20,0)") * F.lit("0.000000000001").cast("decimal(13,12)")).cast("decimal(26,12)")
 
 
 def entry_success(

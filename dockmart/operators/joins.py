@@ -113,7 +113,9 @@ def trimmed_key_join(
     return out.drop("__fact_key") if not rules.exact else out
 
 
-def not_in(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | None = None) -> DataFrame:
+def not_in(
+    df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | None = None, null_listed: DataFrame | None = None
+) -> DataFrame:
     """``df WHERE key NOT IN (SELECT excluded_key FROM excluded)`` with SQL's NULL rules.
 
     * empty list: every row is kept, NULL keys included;
@@ -130,11 +132,13 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str | Non
     the ``IS NULL`` filter passes a grouping on that key and reaches the
     Parquet reader, which skips row groups without NULLs. Whether it is empty
     stops at its first row and matters to rows with a NULL key only.
+    ``null_listed``: a frame that has rows if the list holds a NULL, where the
+    caller keeps NULL keys apart and ``excluded`` has none.
     """
     excluded_key = excluded_key or key
     keys = excluded.select(F.col(excluded_key).alias("__nin_key"))
     count = F.count(F.lit(1))
-    nulls = keys.where(F.col("__nin_key").isNull()).limit(1).select(count).scalar()
+    nulls = (keys.where(F.col("__nin_key").isNull()) if null_listed is None else null_listed).limit(1).select(count).scalar()
     rows = keys.limit(1).select(count).scalar()
     kept = df.join(
         keys.where(F.col("__nin_key").isNotNull()),

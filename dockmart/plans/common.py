@@ -9,8 +9,8 @@ from dockmart import config as C
 from dockmart.config import TextRules
 from dockmart.functions import rules as R
 from dockmart.functions.text import text_eq, text_in
-from dockmart.operators.aggregates import keys_without, ordered_lists
-from dockmart.operators.joins import left_dim, trimmed_key_join
+from dockmart.operators.aggregates import count_when, keys_without, ordered_lists
+from dockmart.operators.joins import left_dim, not_in, trimmed_key_join
 
 
 def loads_without_plant_delivery_3g(stop: DataFrame, loc: DataFrame, rules: TextRules = TextRules()) -> DataFrame:
@@ -32,6 +32,38 @@ def legs_without_plant_delivery_alms(stops: DataFrame, rules: TextRules = TextRu
     return keys_without(s, "Loadleg_ID", F.col("Is_Drop") == 1, text_in("Stop_Code", C.PLANT_DELIVERY_CODES, rules))
 
 
+def leg_codes_alms(stops: DataFrame, rules: TextRules = TextRules()) -> DataFrame:
+    """(Loadleg_ID, Stop_Code, dropped): the codes of each leg's customer stops, and whether a drop is among them.
+
+    The facts that both the plant-delivery exclusion and the supplier lists
+    are made of, grouped once: ``dropped`` is an aggregate that both read, so
+    both plans hold the same exchange and Spark runs it once.
+    """
+    s = stops.where(text_in("cus", C.STOP_CUSTOMER_CODES, rules) & F.col("Loadleg_ID").isNotNull())
+    return s.groupBy("Loadleg_ID", "Stop_Code").agg(F.max(F.when(F.col("Is_Drop") == 1, 1).otherwise(0)).alias("dropped"))
+
+
+def foreign_legs_alms(codes: DataFrame, rules: TextRules = TextRules()) -> DataFrame:
+    """Legs of :func:`leg_codes_alms` with drops, none of them at a plant (as ``legs_without_plant_delivery_alms``, without
+    the NULL leg).
+
+    The leg is returned as an aggregate of itself: what a join infers about
+    its key then stays above the aggregate, and the codes below it are the
+    same plan for every use.
+    """
+    drops = codes.where(F.col("dropped") == 1).groupBy("Loadleg_ID")
+    hits = count_when(text_in("Stop_Code", C.PLANT_DELIVERY_CODES, rules))
+    found = drops.agg(hits.alias("__hits"), F.max("Loadleg_ID").alias("__leg")).where(F.col("__hits") == 0)
+    return found.select(F.col("__leg").alias("Loadleg_ID"))
+
+
+def without_foreign_legs(rows: DataFrame, key: str, stops: DataFrame, rules: TextRules, codes: DataFrame | None = None) -> DataFrame:
+    """``rows WHERE key NOT IN (legs with drops, none at a plant)``; ``codes``: ``leg_codes_alms(stops)``, if shared."""
+    codes = leg_codes_alms(stops, rules) if codes is None else codes
+    unnamed = legs_without_plant_delivery_alms(stops.where(F.col("Loadleg_ID").isNull()), rules)
+    return not_in(rows, key, foreign_legs_alms(codes, rules), "Loadleg_ID", null_listed=unnamed)
+
+
 def customer_stops_3g(tables, rules: TextRules = TextRules()) -> DataFrame:
     """Loads of the customer (client number) with their client number.
 
@@ -75,7 +107,9 @@ def supplier_lists_3g(tables, rules: TextRules = TextRules()) -> DataFrame:
     ).withColumn("Planner(s)", F.lit(None).cast("string"))
 
 
-def supplier_lists_alms(stops: DataFrame, locations: DataFrame, rules: TextRules = TextRules()) -> DataFrame:
+def supplier_lists_alms(
+    stops: DataFrame, locations: DataFrame, rules: TextRules = TextRules(), codes: DataFrame | None = None
+) -> DataFrame:
     """ALMS supplier lists: one row per leg with codes, names and planners.
 
     Customer stops joined to the location master on the trimmed code; only
@@ -83,9 +117,13 @@ def supplier_lists_alms(stops: DataFrame, locations: DataFrame, rules: TextRules
     kept (the type test sits after the outer join). A code with two names
     appears twice, as the distinct is on the whole tuple. Repeated codes of a
     leg go before the join; rows without a leg, which no report can show, too.
+    ``codes``: the leg's codes, where :func:`leg_codes_alms` has them already.
     """
-    s = stops.where(text_in("cus", C.STOP_CUSTOMER_CODES, rules) & F.col("Loadleg_ID").isNotNull())
-    s = s.select("Loadleg_ID", "Stop_Code").distinct()
+    if codes is None:
+        s = stops.where(text_in("cus", C.STOP_CUSTOMER_CODES, rules) & F.col("Loadleg_ID").isNotNull())
+        s = s.select("Loadleg_ID", "Stop_Code").distinct()
+    else:
+        s = codes.where(F.col("dropped") >= 0).select("Loadleg_ID", "Stop_Code")  # reads the column, so that the plan is shared
     j = trimmed_key_join(
         s,
         locations,

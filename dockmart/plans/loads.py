@@ -21,9 +21,9 @@ from dockmart.config import DEFAULT_CONFIG, MartConfig
 from dockmart.functions import dates as D
 from dockmart.functions import rules as R
 from dockmart.functions.text import concat_text, dotted_int, text_in, text_ne, text_not_in
-from dockmart.operators.aggregates import with_group_totals
+from dockmart.operators.aggregates import distinct_rows, with_counts_by
 from dockmart.operators.joins import left_dim, left_join_on, not_in, role_join
-from dockmart.plans.common import legs_without_plant_delivery_alms, loads_without_plant_delivery_3g
+from dockmart.plans.common import loads_without_plant_delivery_3g, without_foreign_legs
 from dockmart.sources.schemas import LOADS_3G_RENAMES, LOADS_COLUMNS
 from dockmart.sources.tables import Tables3G, TablesALMS
 
@@ -104,7 +104,7 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
     cus, life = F.col("ll_cus"), F.col("ll_Life_Cycle_Seq")
     j = j.where(text_in(cus, C.LEG_CUSTOMER_CODES, rules) | cus.isNull())
     j = j.where(text_not_in(life, C.EXCLUDED_LIFE_CYCLES, rules) | life.isNull())
-    j = not_in(j, "ll_Loadleg_Id", legs_without_plant_delivery_alms(tables.stops, rules), "Loadleg_ID")
+    j = without_foreign_legs(j, "ll_Loadleg_Id", tables.stops, rules)
     fmts = cfg.timestamp_formats
     # DISTINCT over the 23 columns the other five are computed from (all of
     # them output columns), then derive: same rows, narrower shuffle.
@@ -133,7 +133,7 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
         "Week": F.col("ll_Week"),
         "Load Legs Last Updated": F.col("ll_Last_update"),
     }
-    rows = j.select(*[c.alias(n) for n, c in base.items()]).distinct()
+    rows = distinct_rows(j.select(*[c.alias(n) for n, c in base.items()]))
     route, version = F.col("Route"), F.col("Version")
     return rows.withColumns(
         {
@@ -148,10 +148,7 @@ def alms_load_rows(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> Data
 
 def loads_alms_report(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
     """The ALMS loads report (31 columns) with load counts per route and carrier."""
-    base = alms_load_rows(tables, cfg)
-    rows = with_group_totals(base, ["Route"], rules=cfg.text, **{"Load Count Per Route": F.count("Load ID").cast("int")})
-    rows = with_group_totals(
-        rows, ["Carrier Code"], source=base, rules=cfg.text, **{"Load Count Per Carrier": F.count("Load ID").cast("int")}
-    )
+    counts = {"Load Count Per Route": "Route", "Load Count Per Carrier": "Carrier Code"}
+    rows = with_counts_by(alms_load_rows(tables, cfg), "Load ID", counts, cfg.text)
     rows = rows.withColumn("TMS", F.lit(C.TMS_ALMS))
     return rows.select(*[F.col(f"`{c}`") for c in LOADS_COLUMNS])

@@ -12,8 +12,10 @@ Shape of each report, as a Spark plan:
 5. left join of the rows to their lists, final column order, and the sort
    only when ``MartConfig.sort_reports`` asks for it.
 
-The stop table feeds steps 1 and 4 through separate scans; each reads only
-the few columns it needs, which is cheaper than caching the wide table.
+The ALMS stop table is read twice: whole for the rows, and four narrow columns
+for the codes of each leg, one exchange from which both the exclusion and the
+lists are made. Legs without an id are looked for with a filter that reaches
+the reader, which skips row groups without them.
 """
 
 from __future__ import annotations
@@ -26,13 +28,15 @@ from dockmart.config import DEFAULT_CONFIG, MartConfig
 from dockmart.functions import dates as D
 from dockmart.functions import rules as R
 from dockmart.functions.text import concat_text, dotted_int, text_in, text_not_in, trunc_int
+from dockmart.operators.aggregates import distinct_rows
 from dockmart.operators.joins import left_dim, not_in
 from dockmart.plans.common import (
     customer_stops_3g,
-    legs_without_plant_delivery_alms,
+    leg_codes_alms,
     loads_without_plant_delivery_3g,
     supplier_lists_3g,
     supplier_lists_alms,
+    without_foreign_legs,
 )
 from dockmart.sources.schemas import STOPS_COLUMNS
 from dockmart.sources.tables import Tables3G, TablesALMS
@@ -84,18 +88,19 @@ def _finish(final: DataFrame, lists: DataFrame, sort_keys: list[str], cfg: MartC
 # --- ALMS ------------------------------------------------------------------------
 
 
-def alms_stop_rows(stops: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+def alms_stop_rows(stops: DataFrame, cfg: MartConfig = DEFAULT_CONFIG, codes: DataFrame | None = None) -> DataFrame:
     """``raw_data`` of the ALMS stops report: filtered, derived, distinct rows.
 
     The source takes DISTINCT over all 40 raw columns. 19 of them are
     functions of the other 21 (dates, time text, crew, shift, flags, keys),
     so the distinct is taken over those 21 base columns and the rest is
     derived afterwards: the same rows, but the shuffle carries about half the
-    bytes and the rules run on deduplicated rows only.
+    bytes and the rules run on deduplicated rows only. ``codes`` is
+    :func:`leg_codes_alms` of the same stops, where the caller shares it.
     """
     rules = cfg.text
     s = stops.where(text_in("cus", C.STOP_CUSTOMER_CODES, rules))
-    s = not_in(s, "Loadleg_ID", legs_without_plant_delivery_alms(stops, rules))
+    s = without_foreign_legs(s, "Loadleg_ID", stops, rules, codes)
     fmts = cfg.timestamp_formats
     base: dict[str, Column] = {
         "Route": F.col("Route"),
@@ -120,7 +125,7 @@ def alms_stop_rows(stops: DataFrame, cfg: MartConfig = DEFAULT_CONFIG) -> DataFr
         "Stop Customer": R.customer_group("cus", rules),
         "Stops Last Updated": F.col("Last_update"),
     }
-    rows = s.select(*[c.alias(n) for n, c in base.items()]).distinct()
+    rows = distinct_rows(s.select(*[c.alias(n) for n, c in base.items()]))
     arr, dep, est = F.col("Planned Arrival"), F.col("Planned Departure"), F.col("Estimated Departure")
     route, version = F.col("Route"), F.col("Version")
     derived: dict[str, Column] = {
@@ -151,13 +156,36 @@ def stops_alms_report(
     tables: TablesALMS, as_of: Column | None = None, cfg: MartConfig = DEFAULT_CONFIG
 ) -> DataFrame:
     """The ALMS stops report (47 columns), ordered by leg and stop sequence."""
-    final = measures(alms_stop_rows(tables.stops, cfg), as_of, cfg).withColumn(
+    codes = leg_codes_alms(tables.stops, cfg.text)
+    final = measures(alms_stop_rows(tables.stops, cfg, codes), as_of, cfg).withColumn(
         "Loadleg ID Customer Key", concat_text(F.col("Loadleg ID"), C.KEY_DASH, F.col("Stop Customer"))
     )
-    lists = supplier_lists_alms(tables.stops, tables.locations, cfg.text)
+    lists = supplier_lists_alms(tables.stops, tables.locations, cfg.text, codes)
     return _finish(final, lists, ["Loadleg ID", "Stop Sequence"], cfg)
 
 
+#: The narrow sample of stops that shows missing times: output name -> column of the rows.
+SAMPLE_COLUMNS = {
+    "Loadleg Tag": "Loadleg Tag",
+    "Route": "Route",
+    "Stop Loc": "Stop Location",
+    "Stop Seq": "Stop Sequence",
+    "Is Pick": "Is Pick",
+    "Is Drop": "Is Drop",
+    "Planned Arr.": "Planned Arrival Date",
+    "Actual Arr.": "Actual Arrival Date",
+    "Planned Dep.": "Planned Departure Date",
+    "Actual Dep.": "Actual Departure Date",
+    "On-Time": "On-Time",
+}
+
+
+def stops_alms_sample(tables: TablesALMS, as_of: Column | None = None, cfg: MartConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The rows of the ALMS stops report in 11 columns; neither lists nor other columns are made for it."""
+    rows = measures(alms_stop_rows(tables.stops, cfg), as_of, cfg)
+    return rows.select(*[F.col(f"`{c}`").alias(n) for n, c in SAMPLE_COLUMNS.items()])
+
+
 # --- 3G --------------------------------------------------------------------------
 
 

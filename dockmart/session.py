@@ -15,6 +15,8 @@ transforms rely on in one place:
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 BASE_CONF: dict[str, str] = {
@@ -45,6 +47,22 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir`` of the session; a local run without it has its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if sc.applicationId not in _OWN_DIRS:
+        _OWN_DIRS[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="dockmart-work-")
+    return _OWN_DIRS[sc.applicationId]
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

@@ -86,3 +86,28 @@ def write_tables(tables: Tables3G | TablesALMS, root: str, mode: str = "overwrit
         df = getattr(tables, f)
         if df is not None:
             df.write.mode(mode).parquet(f"{root.rstrip('/')}/{t}")
+
+
+#: What the tables are joined and grouped by most.
+_BUCKET_KEYS = {"stops": "Loadleg_ID", "legs": "Loadleg_Id", "loads": "Load_ID", "stop": "LoadId", "load": "LoadId", "load_client": "LoadId"}
+
+
+def save_catalog(tables: Tables3G | TablesALMS, database: str, location: str, buckets: int) -> None:
+    """Save a bundle as tables of a catalog database under ``location``, the large ones bucketed and sorted by their key.
+
+    Joins and groupings of stops by leg (or load) then need no exchange of
+    the stop table. ``buckets``: about the stop table's size over 256 MB, and
+    at least the cluster's cores.
+    """
+    fields = _3G_FIELDS if isinstance(tables, Tables3G) else _ALMS_FIELDS
+    for f, t in fields.items():
+        df = getattr(tables, f)
+        if df is None:
+            continue
+        writer = df.write.mode("overwrite").option("path", f"{location.rstrip('/')}/{t}")
+        if f in _BUCKET_KEYS:
+            key = _BUCKET_KEYS[f]
+            # one file a bucket, not one a task and bucket
+            writer = df.repartition(buckets, key).write.mode("overwrite").option("path", f"{location.rstrip('/')}/{t}")
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(f"{database}.{t}")

@@ -41,7 +41,11 @@ def conf(spark, **settings):
                 spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: Queries that write tables first and return a read of them.
+WRITTEN = ("loads_report_published", "stops_report_catalog")
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(WRITTEN)))
 def test_no_python_in_any_query(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir), "extended")
     assert "REPARTITION_BY" not in text, name  # no stand-in hides a shuffle behind one of its own
@@ -105,3 +109,81 @@ def test_group_totals_reuse_the_distinct_shuffle(spark, sf_dir):
     assert "isFinalPlan=true" in final
     assert final.count("ReusedExchange") >= 2  # route and carrier totals read the DISTINCT's shuffle
     assert "ReusedSubquery" in final  # the NOT IN rule is computed once
+
+
+NO_BROADCAST = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+def _static_plan(spark, df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stop_table_is_read_twice(spark, sf_dir):
+    """Once for the rows, once for the codes of each leg, which exclusion and lists share; a look for legs without an id is
+    pushed to the reader."""
+    with conf(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        text = _static_plan(spark, entry.queries()["stops_report"](spark, sf_dir))
+    scans = [line for line in text.splitlines() if "FileScan" in line and "l_orderkey" in line]
+    whole = [line for line in scans if "isnull(l_orderkey" not in line]
+    assert len(whole) == 2 and len(scans) == 3
+    assert text.count("ReusedExchange") >= 2
+
+
+def test_distinct_is_dealt_by_whole_rows_and_counts_take_one_aggregate(spark, sf_dir):
+    with conf(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        for name in ("stops_report", "loads_report"):
+            assert "Exchange hashpartitioning(__row" in _static_plan(spark, entry.queries()[name](spark, sf_dir))
+        text = _static_plan(spark, entry.queries()["loads_report"](spark, sf_dir))
+    # one exchange for the totals of route and carrier, used again for the second
+    assert sum("Exchange hashpartitioning(g#" in line and "Reused" not in line for line in text.splitlines()) == 1
+    assert text.count("ReusedExchange [g#") == 1
+
+
+def test_hot_leg_is_spread_over_tasks(spark):
+    """A leg with a third of all rows, nothing broadcast: the DISTINCT of the report is not dealt by leg."""
+    from pyspark.sql import functions as F
+
+    from dockmart.sources import schemas as SC
+
+    ids = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("leg"), "id")
+    known = {"Loadleg_ID": F.col("leg"), "Stop_Seq": (F.col("id") % 100_000).cast("int"), "cus": F.lit("AVS"), "Stop_Code": F.lit("10"), "Is_Drop": F.lit(1)}
+    columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SC.LEG_STOP_ALMS.fields]
+    with conf(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        rows = stops.alms_stop_rows(ids.select(*columns))
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_bucketed_stops_need_no_exchange_below_the_anti_join(spark, scratch):
+    from dockmart.sources import schemas as SC
+
+    bundle = T.TablesALMS(
+        loads=spark.createDataFrame(ALMS_LOADS, SC.LOAD_ALMS),
+        legs=spark.createDataFrame(ALMS_LEGS, SC.LEG_ALMS),
+        stops=spark.createDataFrame(ALMS_STOPS, SC.LEG_STOP_ALMS),
+        locations=spark.createDataFrame(ALMS_LOCATIONS, SC.LOCATION_ALMS),
+    )
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bucketed_test LOCATION 'file://{scratch}'")
+    T.save_catalog(bundle, "bucketed_test", f"file://{scratch}", 16)
+    with conf(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        rows = stops.alms_stop_rows(T.catalog_alms(spark, "bucketed_test").stops)
+        lines = _static_plan(spark, rows).splitlines()
+        assert rows.count() == stops.alms_stop_rows(bundle.stops).count() > 0
+    anti = next(i for i, line in enumerate(lines) if "LeftAnti" in line)
+    scan = next(i for i, line in enumerate(lines) if i > anti and "FileScan" in line)
+    assert not any("Exchange" in line for line in lines[anti:scan])
+    spark.sql("DROP DATABASE bucketed_test CASCADE")
+
+
+def test_a_failed_write_leaves_the_published_report(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from dockmart.sources import sinks
+
+    first = spark.range(5).withColumnRenamed("id", "Load ID")
+    version = sinks.publish(first, scratch)
+    with pytest.raises(Exception, match="broken"):
+        sinks.publish(first.select(F.raise_error(F.concat(F.lit("broken "), F.col("Load ID").cast("string"))).alias("Load ID")), scratch)
+    assert sinks.read_published(spark, scratch).count() == 5
+    sinks.publish(spark.range(7).withColumnRenamed("id", "Load ID"), scratch)
+    assert sinks.read_published(spark, scratch).count() == 7 and sinks.read_published(spark, scratch, version).count() == 5
