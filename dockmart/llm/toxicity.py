@@ -12,7 +12,7 @@ They are composed into one automaton (states are tuples, weights multiply), buil
 weight times factor; a document's features are its highest clause, the sum over clauses, the number of matched clauses
 and its length, which a logistic regression turns into a calibrated score.
 
-**What is learned.** Insult weights, from labelled rows only: log-odds of a word (or of a beginning of 4 to 6 letters,
+**What is learned.** Insult weights, from labelled rows only: log-odds of a word (or of a beginning of 4 to 8 letters,
 which covers inflected and invented forms) between toxic and other documents, at the lower end of their error. A form must stand in several different
 contexts (a 64-bit sketch of the words before it), so that copies of one document teach nothing. Fixed lists of
 insults, threats, targets, negators and verbs of saying in four languages are the grammar's starting point.
@@ -46,10 +46,10 @@ from dockmart.llm.common import bounded_label_sample, class_counts, fit_logistic
 ROWS = 8000
 LEXICON = 20_000
 #: A learned form weighs the lower end of its log-odds, ``Z`` standard errors down, and at least ``MIN_WEIGHT``.
-Z, MIN_WEIGHT = 2.5, 2.0
-MIN_DOCS = 4
-MIN_CONTEXTS = 4
-PREFIXES = (4, 5, 6)
+Z, MIN_WEIGHT = 2.0, 1.5
+MIN_DOCS = 3
+MIN_CONTEXTS = 3
+PREFIXES = (4, 5, 6, 7, 8)
 
 NEGATED, REPORTED, TARGETED, THREAT_ALONE = 0.3, 0.4, 1.5, 0.25
 SEED_WEIGHT, THREAT_WEIGHT = 2.0, 3.0
