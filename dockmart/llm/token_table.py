@@ -214,8 +214,10 @@ _ENCODED = "part int, doc_id long, th long, copies long, wide boolean, packed bi
 
 
 def range_borders(keys: DataFrame, parts: int) -> list[tuple]:
-    """At most ``parts - 1`` keys (doc_id, th) that cut ``keys`` into ranges of about as many rows: from ``_SAMPLE`` rows a range."""
-    rows = keys.withColumn("_r", F.rand(9)).orderBy("_r").limit(_SAMPLE * parts).drop("_r").collect()
+    """At most ``parts - 1`` keys (doc_id, th) that cut ``keys`` into ranges of about as many rows: from a sample of about
+    ``_SAMPLE`` rows a range, whatever the table holds."""
+    share = _SAMPLE * parts / max(1, keys.count())
+    rows = keys.where(F.rand(9) < share).collect()
     ordered = sorted(_place(r["doc_id"], r["th"]) for r in rows)
     return sorted({ordered[len(ordered) * i // parts] for i in range(1, parts)}) if ordered else []
 
