@@ -107,7 +107,7 @@ _WORDS = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]|[^\W\d_\u3040-\u30ff\u4e00-\u
 _WIDE = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff\uac00-\ud7af]")
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     link_chars: int
@@ -118,7 +118,7 @@ class Block:
     heading: int  # level, 0 for other text
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     """An open element; all but the tag and the number hold for what stands in it."""
 
@@ -283,15 +283,14 @@ def stop_words(block: Block) -> tuple[int, int]:
     return sum(w in STOP_WORDS for w in words), len(words)
 
 
-def thresholds(page: list[Block]) -> tuple[float, float]:
-    """The densities of stop words that make a block of this page middling, and good."""
-    counts = [stop_words(b) for b in page if not b.boiler and not is_linked(b)]
+def thresholds(counts: list[tuple[int, int]]) -> tuple[float, float]:
+    """The densities of stop words that make a block of this page middling, and good; of its blocks' stop words and words."""
     own = sum(s for s, _ in counts) / max(1, sum(n for _, n in counts))
     return min(STOP_LOW, LOW_SHARE * own), min(STOP_HIGH, HIGH_SHARE * own)
 
 
-def first_pass(block: Block, low: float, high: float, in_list: bool) -> str:
-    """The label of a block seen alone; ``in_list``: the block before or after it is links, too."""
+def first_pass(block: Block, words: tuple[int, int], low: float, high: float, in_list: bool) -> str:
+    """The label of a block seen alone; ``words``: its stop words and words; ``in_list``: one beside it is links, too."""
     if block.boiler:
         return BAD
     if is_linked(block):
@@ -299,8 +298,7 @@ def first_pass(block: Block, low: float, high: float, in_list: bool) -> str:
     size = len(block.text) + len(_WIDE.findall(block.text))
     if size < SHORT:
         return SHORT_BLOCK
-    stops, words = stop_words(block)
-    density = stops / max(1, words)
+    density = words[0] / max(1, words[1])
     if density >= high and size > LONG:
         return GOOD
     if density >= low:
@@ -368,10 +366,11 @@ def second_pass(page: list[Block], labels: list[str]) -> list[bool]:
 
 
 def _kept(page: list[Block]) -> list[bool]:
-    low, high = thresholds(page)
     linked = [is_linked(b) and not b.boiler for b in page]
+    words = [(0, 0) if b.boiler or is_link else stop_words(b) for b, is_link in zip(page, linked, strict=True)]
+    low, high = thresholds(words)
     labels = [
-        first_pass(b, low, high, linked[i] and (i > 0 and linked[i - 1] or i + 1 < len(page) and linked[i + 1]))
+        first_pass(b, words[i], low, high, linked[i] and (i > 0 and linked[i - 1] or i + 1 < len(page) and linked[i + 1]))
         for i, b in enumerate(page)
     ]
     if GOOD not in labels:

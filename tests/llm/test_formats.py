@@ -154,7 +154,7 @@ def test_each_rule_decides_pages(monkeypatch):
         m.setattr(html_text, "stop_words", lambda block: (1, 2))
         assert "keywords" in _changed()
     with monkeypatch.context() as m:
-        m.setattr(html_text, "thresholds", lambda page: (html_text.STOP_LOW, html_text.STOP_HIGH))
+        m.setattr(html_text, "thresholds", lambda counts: (html_text.STOP_LOW, html_text.STOP_HIGH))
         assert {"russian", "chinese"} <= _changed()  # densities of the page's own language
     with monkeypatch.context() as m:
         m.setattr(html_text, "is_linked", lambda block: False)
