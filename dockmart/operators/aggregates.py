@@ -135,6 +135,16 @@ def ordered_lists(
     return grouped.select(key, *[joined(src).alias(out) for src, out in lists.items()])
 
 
+def first_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
+    """The row with the lowest ``order_col`` for each ``key`` (NULL counts as lowest, ties go by the remaining columns).
+
+    The counterpart of :func:`latest_per_key`, combined on the map side too.
+    """
+    rest = [c for c in df.columns if c not in (key, order_col)]
+    best = F.min(F.struct(F.col(order_col), *[F.col(c) for c in rest])).alias("__best")
+    return df.groupBy(key).agg(best).select(key, *[F.col(f"__best.{c}").alias(c) for c in [order_col, *rest]])
+
+
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     """The row with the highest ``order_col`` for each ``key``.
 

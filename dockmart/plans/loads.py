@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockmart import config as C
-from dockmart.config import DEFAULT_CONFIG, MartConfig
+from dockmart.config import DEFAULT_CONFIG, MartConfig, TextRules
 from dockmart.functions import dates as D
 from dockmart.functions import rules as R
 from dockmart.functions.text import concat_text, dotted_int, text_in, text_ne, text_not_in
-from dockmart.operators.aggregates import distinct_rows, with_counts_by
+from dockmart.operators.aggregates import distinct_rows, first_per_key, with_counts_by
 from dockmart.operators.joins import left_dim, left_join_on, not_in, role_join
 from dockmart.plans.common import loads_without_plant_delivery_3g, without_foreign_legs
 from dockmart.sources.schemas import LOADS_3G_RENAMES, LOADS_COLUMNS
@@ -152,3 +152,30 @@ def loads_alms_report(tables: TablesALMS, cfg: MartConfig = DEFAULT_CONFIG) -> D
     rows = with_counts_by(alms_load_rows(tables, cfg), "Load ID", counts, cfg.text)
     rows = rows.withColumn("TMS", F.lit(C.TMS_ALMS))
     return rows.select(*[F.col(f"`{c}`") for c in LOADS_COLUMNS])
+
+
+def order_legs_3g(tables: Tables3G, rules: TextRules = TextRules()) -> DataFrame:
+    """Loads with the order legs whose first load leg they are, those legs' orders, clients and destinations.
+
+    The joins that the source keeps as a comment. An order leg may travel
+    with several load legs; the one with the lowest number names its load, so
+    each order leg stands at one load at most. Loads without order legs keep
+    one row, and so do legs without order, client or known destination.
+    """
+    first = first_per_key(tables.order_leg_load, "OrdLegId", "LegSeq")
+    x = left_dim(tables.load.select("LoadId"), first, "LoadId", "LoadId", {"OrdLegId": "OrdLegId"})
+    x = left_dim(x, tables.order_leg, "OrdLegId", "OrdLegId", {"OrdHeaderId": "__order"})
+    order = {"OrdHeaderId": "OrdHeaderId", "TradingPartnerIdClient": "__client", "LocIdDest": "__dest"}
+    x = left_dim(x, tables.order_header, "__order", "OrdHeaderId", order)
+    x = role_join(
+        x,
+        tables.partner,
+        "__client",
+        "TradingPartnerId",
+        "DataValue_TradingPartnerType",
+        C.PARTNER_ROLE_CLIENT,
+        {"TradingPartnerNum": "client_num"},
+        rules,
+    )
+    x = left_dim(x, tables.loc, "__dest", "LocId", {"AddrName": "order_dest"})
+    return x.select("LoadId", "OrdLegId", "OrdHeaderId", "client_num", "order_dest")

@@ -63,6 +63,10 @@ TRANSPORT_MODE_3G = _schema(("TransportModeId", L), ("TransportModeName", S))
 LOAD_CLIENT_3G = _schema(("LoadId", L), ("TradingPartnerIdClient", L))
 LOAD_ORDER_3G = _schema(("LoadId", L), ("OrdHeaderId", L))
 ORDER_HEADER_3G = _schema(("OrdHeaderId", L), ("TradingPartnerIdClient", L))
+# read only for the joins through order legs
+ORDER_HEADER_DEST_3G = _schema(("OrdHeaderId", L), ("TradingPartnerIdClient", L), ("LocIdDest", L))
+ORDER_LEG_3G = _schema(("OrdLegId", L), ("OrdHeaderId", L))
+ORDER_LEG_LOAD_3G = _schema(("OrdLegId", L), ("LegSeq", I), ("LoadId", L))
 
 TABLES_3G = {
     "Load": LOAD_3G,
@@ -74,6 +78,7 @@ TABLES_3G = {
     "Vw3g_Load_Ord": LOAD_ORDER_3G,
     "OrdHeader": ORDER_HEADER_3G,
 }
+ORDER_LEG_TABLES_3G = {"OrdHeader": ORDER_HEADER_DEST_3G, "OrdLeg": ORDER_LEG_3G, "OrdLeg_LoadLeg": ORDER_LEG_LOAD_3G}
 
 # --- ALMS ---------------------------------------------------------------------
 

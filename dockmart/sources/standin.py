@@ -203,7 +203,25 @@ def load_order_3g(lineitem: DataFrame) -> DataFrame:
 
 def order_header_3g(part: DataFrame) -> DataFrame:
     return part.select(
-        F.col("p_partkey").alias("OrdHeaderId"), (F.col("p_size") * 10).cast("bigint").alias("TradingPartnerIdClient")
+        F.col("p_partkey").alias("OrdHeaderId"),
+        (F.col("p_size") * 10).cast("bigint").alias("TradingPartnerIdClient"),
+        F.col("p_size").cast("bigint").alias("LocIdDest"),
+    )
+
+
+def _order_leg_id() -> Column:
+    return (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("OrdLegId")
+
+
+def order_leg_3g(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(_order_leg_id(), F.col("l_partkey").alias("OrdHeaderId"))
+
+
+def order_leg_load_3g(lineitem: DataFrame) -> DataFrame:
+    """One to three load legs an order leg; the one with the smallest number need not be of the order's own load."""
+    step = F.explode(F.sequence(F.lit(0), (F.col("l_linenumber") % 3).cast("int"))).alias("__k")
+    return lineitem.select(_order_leg_id(), "l_orderkey", step).select(
+        "OrdLegId", (F.lit(10) - F.col("__k")).cast("int").alias("LegSeq"), (F.col("l_orderkey") + F.col("__k")).alias("LoadId")
     )
 
 
@@ -219,6 +237,8 @@ def tables_3g(spark: SparkSession, sf_dir: str) -> Tables3G:
         load_client=load_client_3g(orders),
         load_order=load_order_3g(lineitem),
         order_header=order_header_3g(r("part")),
+        order_leg=order_leg_3g(lineitem),
+        order_leg_load=order_leg_load_3g(lineitem),
     )
 
 

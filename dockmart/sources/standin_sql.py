@@ -132,7 +132,21 @@ load_order_3g AS (SELECT l_orderkey AS LoadId, l_partkey AS OrdHeaderId FROM lin
         (),
         """
 order_header_3g AS (
-  SELECT p_partkey AS OrdHeaderId, CAST(p_size * 10 AS BIGINT) AS TradingPartnerIdClient FROM part)""",
+  SELECT p_partkey AS OrdHeaderId, CAST(p_size * 10 AS BIGINT) AS TradingPartnerIdClient, CAST(p_size AS BIGINT) AS LocIdDest
+  FROM part)""",
+    ),
+    "order_leg_3g": (
+        (),
+        """
+order_leg_3g AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS OrdLegId, l_partkey AS OrdHeaderId FROM lineitem)""",
+    ),
+    "order_leg_load_3g": (
+        (),
+        """
+order_leg_load_3g AS (
+  SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS OrdLegId, CAST(10 - k AS INTEGER) AS LegSeq,
+    CAST(l_orderkey + k AS BIGINT) AS LoadId
+  FROM lineitem JOIN (VALUES (0), (1), (2)) steps(k) ON k <= l_linenumber % 3)""",
     ),
     "load_alms": (
         (),

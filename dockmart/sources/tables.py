@@ -25,6 +25,8 @@ class Tables3G:
     load_client: DataFrame
     load_order: DataFrame | None = None
     order_header: DataFrame | None = None
+    order_leg: DataFrame | None = None
+    order_leg_load: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,8 @@ _3G_FIELDS = {
     "load_order": "Vw3g_Load_Ord",
     "order_header": "OrdHeader",
 }
+#: Read on request only: no report needs them.
+_ORDER_LEG_FIELDS = {"order_header": "OrdHeader", "order_leg": "OrdLeg", "order_leg_load": "OrdLeg_LoadLeg"}
 _ALMS_FIELDS = {
     "loads": "METRIX_LOAD_hourly_2306",
     "legs": "METRIX_LOAD_LEG_hourly_2306",
@@ -57,9 +61,11 @@ def _read_parquet(spark: SparkSession, root: str, name: str, schema) -> DataFram
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
 
 
-def parquet_3g(spark: SparkSession, root: str) -> Tables3G:
-    """3G tables stored as ``<root>/<TableName>/`` Parquet folders."""
-    return Tables3G(**{f: _read_parquet(spark, root, t, schemas.TABLES_3G[t]) for f, t in _3G_FIELDS.items()})
+def parquet_3g(spark: SparkSession, root: str, order_legs: bool = False) -> Tables3G:
+    """3G tables stored as ``<root>/<TableName>/`` Parquet folders; with ``order_legs`` the order legs and their loads too."""
+    known = schemas.TABLES_3G | (schemas.ORDER_LEG_TABLES_3G if order_legs else {})
+    fields = _3G_FIELDS | (_ORDER_LEG_FIELDS if order_legs else {})
+    return Tables3G(**{f: _read_parquet(spark, root, t, known[t]) for f, t in fields.items()})
 
 
 def parquet_alms(spark: SparkSession, root: str) -> TablesALMS:
@@ -67,10 +73,11 @@ def parquet_alms(spark: SparkSession, root: str) -> TablesALMS:
     return TablesALMS(**{f: _read_parquet(spark, root, t, schemas.TABLES_ALMS[t]) for f, t in _ALMS_FIELDS.items()})
 
 
-def catalog_3g(spark: SparkSession, database: str | None = None) -> Tables3G:
+def catalog_3g(spark: SparkSession, database: str | None = None, order_legs: bool = False) -> Tables3G:
     """3G tables from a catalog database (the source's ``USE <db>``)."""
     prefix = f"{database}." if database else ""
-    return Tables3G(**{f: spark.table(prefix + t) for f, t in _3G_FIELDS.items()})
+    fields = _3G_FIELDS | (_ORDER_LEG_FIELDS if order_legs else {})
+    return Tables3G(**{f: spark.table(prefix + t) for f, t in fields.items()})
 
 
 def catalog_alms(spark: SparkSession, database: str | None = None) -> TablesALMS:
@@ -81,7 +88,7 @@ def catalog_alms(spark: SparkSession, database: str | None = None) -> TablesALMS
 
 def write_tables(tables: Tables3G | TablesALMS, root: str, mode: str = "overwrite") -> None:
     """Write a bundle as ``<root>/<TableName>/`` Parquet folders."""
-    fields = _3G_FIELDS if isinstance(tables, Tables3G) else _ALMS_FIELDS
+    fields = _3G_FIELDS | _ORDER_LEG_FIELDS if isinstance(tables, Tables3G) else _ALMS_FIELDS
     for f, t in fields.items():
         df = getattr(tables, f)
         if df is not None:
@@ -99,7 +106,7 @@ def save_catalog(tables: Tables3G | TablesALMS, database: str, location: str, bu
     the stop table. ``buckets``: about the stop table's size over 256 MB, and
     at least the cluster's cores.
     """
-    fields = _3G_FIELDS if isinstance(tables, Tables3G) else _ALMS_FIELDS
+    fields = _3G_FIELDS | _ORDER_LEG_FIELDS if isinstance(tables, Tables3G) else _ALMS_FIELDS
     for f, t in fields.items():
         df = getattr(tables, f)
         if df is None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dockmart.operators.aggregates import keys_without, latest_per_key, ordered_lists, with_group_totals
+from dockmart.operators.aggregates import first_per_key, keys_without, latest_per_key, ordered_lists, with_group_totals
 from dockmart.operators.joins import left_join_on, not_in, role_join, trimmed_key_join
 from dockmart.config import TextRules
 from harness import not_in_sql_form
@@ -73,6 +73,13 @@ def test_latest_per_key(spark):
     assert got == {"t1": (3, "y"), "t2": (2, "z")}
 
 
+def test_first_per_key(spark):
+    rows = [("t1", 3, "x"), ("t1", 1, "y"), ("t1", 1, "b"), ("t2", 2, "z"), ("t3", None, "n"), ("t3", 5, "m"), (None, 1, "k")]
+    df = spark.createDataFrame(rows, "tag string, id long, v string")
+    got = {r.tag: (r.id, r.v) for r in first_per_key(df, "tag", "id").collect()}
+    assert got == {"t1": (1, "b"), "t2": (2, "z"), "t3": (None, "n"), None: (1, "k")}
+
+
 def test_role_join_keeps_row_with_wrong_role(spark):
     loads = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id long, car long")
     partners = spark.createDataFrame([(10, "C10", "Carrier"), (20, "C20", "Client")], "pid long, num string, type string")

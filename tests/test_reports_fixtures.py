@@ -257,3 +257,25 @@ def test_3g_letter_case_follows_text_rules(spark, g3):
     assert ci == exact | {9}
     rows = [r for r in stops.stops_3g_report(t, _as_of(), ci_cfg).collect() if r["Loadleg ID"] == "L9"]
     assert [r["Is HUT Location"] for r in rows] == ["Yes"]
+
+
+def test_order_legs_stand_at_their_first_load(spark, g3):
+    loads_table = spark.createDataFrame([(1, "L1"), (2, "L2"), (3, "L3")], "LoadId long, LoadNum string")
+    legs = [(10, 5000), (11, 5001), (12, 9999), (13, None)]
+    travels = [(10, 2, 2), (10, 1, 1), (10, 3, 3), (11, 7, 1), (11, 8, 2), (12, 1, 2), (13, 1, 2), (14, 1, 7), (15, 1, None)]
+    partners = [(800, "HUT", "Hq", "Client"), (802, "C802", "Haul", "Carrier")]
+    t = Tables3G(
+        loads_table, g3.stop, spark.createDataFrame([(7, "Plant")], SC.LOC_3G), spark.createDataFrame(partners, SC.TRADING_PARTNER_3G),
+        g3.mode, g3.load_client, g3.load_order,
+        order_header=spark.createDataFrame([(5000, 800, 7), (5001, 802, 8)], SC.ORDER_HEADER_DEST_3G),
+        order_leg=spark.createDataFrame(legs, SC.ORDER_LEG_3G),
+        order_leg_load=spark.createDataFrame(travels, SC.ORDER_LEG_LOAD_3G),
+    )
+    got = sorted(tuple(r) for r in loads.order_legs_3g(t).fillna(-1).fillna("-").collect())
+    assert got == [
+        (1, 10, 5000, "HUT", "Plant"),
+        (1, 11, 5001, "-", "-"),  # a carrier is no client, its destination is unknown
+        (2, 12, -1, "-", "-"),
+        (2, 13, -1, "-", "-"),
+        (3, -1, -1, "-", "-"),
+    ]

@@ -17,6 +17,8 @@ BUILDERS = {
     "load_client_3g": lambda t3, ta, sp, sf: t3.load_client,
     "load_order_3g": lambda t3, ta, sp, sf: t3.load_order,
     "order_header_3g": lambda t3, ta, sp, sf: t3.order_header,
+    "order_leg_3g": lambda t3, ta, sp, sf: t3.order_leg,
+    "order_leg_load_3g": lambda t3, ta, sp, sf: t3.order_leg_load,
     "load_alms": lambda t3, ta, sp, sf: ta.loads,
     "leg_alms": lambda t3, ta, sp, sf: ta.legs,
     "leg_stop_alms": lambda t3, ta, sp, sf: ta.stops,
