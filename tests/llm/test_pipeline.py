@@ -20,7 +20,11 @@ def test_sql(spark, sf_dir, name):
     want = con.sql(ORACLE[name])
     assert sorted(got.columns) == sorted(want.columns)
     columns = sorted(got.columns)
-    assert sorted(tuple(r[c] for c in columns) for r in got.collect()) == sorted(want.select(", ".join(columns)).fetchall())
+    rows = sorted(tuple(r[c] for c in columns) for r in got.collect())
+    others = sorted(want.select(", ".join(columns)).fetchall())
+    assert len(rows) == len(others)
+    # all but doubles are equal; those are sums whose order, and so their last digit, the engines are free to choose
+    assert rows == [tuple(pytest.approx(v, rel=1e-13, abs=0) if isinstance(v, float) else v for v in r) for r in others]
 
 
 def test_entry_lists_all(spark):
