@@ -41,6 +41,10 @@ MOST = 2.0
 EPS = 1e-9
 #: Numbers of equal rows that are made at a time.
 NUMBERS = 1 << 12
+#: Places at most in which rows find their copies (a bit for each number of copies: 25 MB in all), and places a row.
+PLACES = 1 << 26
+PLACES_PER_ROW = 64
+_BITMAP = 1 << 15  # places in one of Spark's bitmaps
 
 
 def word_count(text: Column) -> Column:
@@ -191,14 +195,16 @@ def _reducer(level: int, seed: int, last: bool):
 def repeat_by_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block_rows: int = 1024, seed: int = 42) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, all columns kept.
 
-    Copies are found by (doc_id, source, size). Rows that agree in all three (without an id, or of a repeated one) share
+    Most rows find their copies where they are read (:func:`copies_by_place`). For the rest, copies are found by (doc_id, source, size). Rows that agree in all three (without an id, or of a repeated one) share
     their copies in the order of a hash of their texts, the extra ones first; they are numbered by narrow rows, one for
     each text, and only rows that agree in the text too are numbered one by one. Documents of size 0 hold no words and are
     left out.
     """
     mixed = mix(docs, weights, share, block_rows, seed)
-    counted = mixed.filter("size > 0").groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.sum("copies").alias("copies"))
-    plan = staged(counted.filter("copies > 0"), "copies").select(
+    counted = mixed.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.sum("copies").alias("copies"))
+    decided = staged(counted, "copies")
+    sure, docs = copies_by_place(docs, decided)
+    plan = decided.filter("size > 0 and copies > 0").select(
         *[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "rows", "copies")]
     )
     names = docs.columns
@@ -225,4 +231,43 @@ def repeat_by_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
         times = F.floor((F.col("_mix_copies") + F.col("_mix_rows") - nr) / F.col("_mix_rows")).cast("int")
         alike = alike.join(places, matched).withColumn("_mix_times", times).filter("_mix_times > 0")
         rows = rows.select(*names, "_mix_times").unionByName(alike.select(*names, "_mix_times"))
+    rows = rows.select(*names, "_mix_times").unionByName(sure.filter("_mix_times > 0"))
     return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*names)
+
+
+def copies_by_place(docs: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` with their copies (``_mix_times``), and the rest, which must be joined to ``decided``.
+
+    ``decided`` has (doc_id, source, size, rows, copies) of every row of ``docs``. A hash of (doc_id, source) gives a row
+    its place; for each number of copies a bitmap says in which places there are rows that the mix takes so often. The
+    bitmaps are of bounded size and broadcast, so texts stay where they are read. In a place with one bit set all rows have
+    that number of copies; rows in places with several are the rest.
+    """
+    wanted = PLACES_PER_ROW * max(1, decided.count())
+    places = max(_BITMAP, min(PLACES, 1 << (wanted - 1).bit_length()))
+
+    def place(rows: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(rows["doc_id"].cast("long"), rows["source"].cast("string")), F.lit(places))
+
+    share = F.col("copies") / F.col("rows")
+    at = place(decided)
+    marked = decided.select(
+        F.shiftright(at, 15).alias("_mix_number"), at.bitwiseAND(F.lit(_BITMAP - 1)).alias("bit"), F.floor(share).alias("low"), F.ceil(share).alias("high")
+    )
+    numbers = range(math.ceil(MOST) + 1)
+    bitmaps = marked.groupBy("_mix_number").agg(
+        *[F.bitmap_construct_agg(F.when((F.col("low") == n) | (F.col("high") == n), F.col("bit"))).alias(f"_mix_marks{n}") for n in numbers]
+    )
+    at = place(docs)
+    bit = at.bitwiseAND(F.lit(_BITMAP - 1))
+
+    def is_set(n: int) -> Column:
+        byte = F.substring(F.col(f"_mix_marks{n}"), F.floor(bit / 8).cast("int") + 1, F.lit(1))
+        return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (bit % 8).cast("int")).cast("int")
+
+    found = docs.join(F.broadcast(bitmaps), F.shiftright(at, 15) == F.col("_mix_number"))
+    found = found.withColumn("_mix_set", F.array(*[is_set(n) for n in numbers])).withColumn(
+        "_mix_kinds", F.aggregate("_mix_set", F.lit(0), lambda a, b: a + b)
+    )
+    sure = found.filter("_mix_kinds = 1").withColumn("_mix_times", (F.array_position("_mix_set", 1) - 1).cast("int"))
+    return sure.select(*docs.columns, "_mix_times"), found.filter("_mix_kinds > 1").select(*docs.columns)

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import docs_frame, prose, vocabulary
+from pyspark.sql import functions as F
 
 from dockmart.llm import ann, decontam, mixing
 
@@ -294,3 +295,22 @@ def test_rows_without_an_id_are_spread_and_repeated(spark):
     of_one = Counter(r.text for r in again if r.source == "hot")
     there = Counter(texts + ["x y z"] * 40)
     assert all(n <= 2 * there[t] for t, n in of_one.items())
+
+
+@pytest.mark.parametrize("places", [1 << 15, 1 << 26])
+def test_texts_stay_where_they_are_read(spark, monkeypatch, places):
+    """pipeline: rows find their copies in broadcast bitmaps; only rows whose place several numbers of copies share are joined."""
+    monkeypatch.setattr(mixing, "PLACES", places)
+    rows = [(i, f"w{i} " * (1 + i % 7), "en", ("a", "b", None)[i % 3]) for i in range(3000)]
+    rows += [(5000, "x y", "en", "a"), (5000, "x y z", "en", "a"), (5000, "x y z", "en", "a"), (None, "p q", "en", "b"), (None, "q p", "en", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    mixed = mixing.mix(docs)
+    decided = mixed.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.sum("copies").alias("copies")).cache()
+    sure, rest = mixing.copies_by_place(docs, decided)
+    sure, rest = sure.collect(), rest.collect()
+    assert len(sure) + len(rest) == len(rows) and len(rest) < (200 if places > 1 << 15 else 600)
+    want = {(r.doc_id, r.source, r.size): r.copies / r.rows for r in decided.collect()}
+    assert all(r._mix_times == want[r.doc_id, r.source, len(r.text.split())] for r in sure)
+    got = Counter((r.doc_id, r.source, len(r.text.split())) for r in mixing.repeat_by_mix(docs).collect())
+    assert got == {(r.doc_id, r.source, r.size): r.copies for r in decided.collect() if r.copies}
+    decided.unpersist()
